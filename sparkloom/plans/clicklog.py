@@ -10,6 +10,7 @@ from sparkloom.functions.time import GRAIN_PATTERNS, format_millis, millis_to_in
 from sparkloom.operators.newness import newness
 from sparkloom.operators.rows import expand_grains
 from sparkloom.operators.windows import window_totals
+from sparkloom.streaming import stateful
 
 # Message layout and the values a generated click can take.
 MESSAGE_SCHEMA = "count BIGINT, timeStamp BIGINT, message STRING"
@@ -80,6 +81,13 @@ def wide_rows(clicks: DataFrame, zone: str = "UTC", remember: str = "last",
     return time_columns(flagged.drop("__tie"), zone)
 
 
+def stream_wide_rows(clicks: DataFrame, zone: str = "UTC", remember: str = "last") -> DataFrame:
+    """Wide rows of a stream; the last visit of a user to a channel is keyed state."""
+    ready = clicks.withColumn("__tie", F.xxhash64(*CLICK_FIELDS))
+    flagged = stateful.newness(ready, ["userID", "channelID"], "ts", "__tie", remember)
+    return time_columns(flagged.drop("__tie"), zone)
+
+
 def channel_heat(wide: DataFrame, length: str = "10 seconds") -> DataFrame:
     """Visits per channel and window."""
     return window_totals(wide, "ts", length, ["channelID"], [F.sum("count").alias("visited")])
