@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkloom.functions.numbers import cents, from_cents, round_half_up
+from sparkloom.functions.numbers import round_half_up
 from sparkloom.operators.windows import window_totals
 
 
@@ -26,24 +26,32 @@ def top(df: DataFrame, by: str, tie: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(by), F.asc(tie)).limit(k)
 
 
+def exact_sum(amount: str, decimals: int | None = None) -> Column:
+    """Sum of amounts. With ``decimals`` given (the amounts have no more), they are added as whole
+    numbers: exact in any order, so every run gives the same total."""
+    if decimals is None:
+        return F.sum(amount)
+    unit = 10 ** decimals
+    return F.sum(F.round(F.col(amount) * unit).cast("long")) / F.lit(float(unit))
+
+
 def category_totals(df: DataFrame, category: str, amount: str, time: str, *,
-                    length: str = "1 day", offset: str | None = None) -> DataFrame:
-    """First level: money per category and window, in cents."""
+                    length: str = "1 day", offset: str | None = None,
+                    decimals: int | None = None) -> DataFrame:
+    """First level: ``total`` per category and window."""
     return window_totals(df, time, length, [category],
-                         [F.sum(cents(amount)).alias("total_cents")], offset=offset)
+                         [exact_sum(amount, decimals).alias("total")], offset=offset)
 
 
 def dashboard(totals: DataFrame, category: str, k: int = 3) -> DataFrame:
     """Second level: grand total per window and its k best categories as text lines."""
     window = ["window_start", "window_end"]
-    grand = totals.groupBy(*window).agg(F.sum("total_cents").alias("all_cents"))
-    best = top_per_group(totals, window, "total_cents", category, k)
+    grand = totals.groupBy(*window).agg(round_half_up(F.sum("total")).alias("total"))
+    best = top_per_group(totals, window, "total", category, k)
     # At most k rows per window are collected.
     lines = F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", F.col(category).alias("c"), "total_cents"))),
+        F.sort_array(F.collect_list(F.struct("rank", F.col(category).alias("c"), "total"))),
         lambda x: F.concat(x["c"].cast("string"), F.lit("="),
-                           from_cents(x["total_cents"]).cast("decimal(18,2)").cast("string")))
+                           x["total"].cast("decimal(18,2)").cast("string")))
     listed = best.groupBy(*window).agg(F.array_join(lines, "\n").alias("top_categories"))
-    return (grand.join(listed, window)
-            .select(*window, round_half_up(from_cents("all_cents")).alias("total"),
-                    "top_categories"))
+    return grand.join(listed, window).select(*window, "total", "top_categories")

@@ -468,15 +468,15 @@ def service_names(t: Tables):
 # ---- ranking, dashboard, reviews ---------------------------------------------------------------
 
 @query("""SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type,
-                 total_cents, rank FROM (
+                 total, rank FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY window_start
-                      ORDER BY total_cents DESC, event_type) AS INT) AS rank
+                      ORDER BY total DESC, event_type) AS INT) AS rank
             FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type,
-                  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
+                  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
                   FROM events GROUP BY ALL)) WHERE rank <= 3""")
 def category_top(t: Tables):
-    totals = category_totals(t.events, "event_type", "value", "ts")
-    return top_per_group(totals, ["window_start", "window_end"], "total_cents", "event_type", 3)
+    totals = category_totals(t.events, "event_type", "value", "ts", decimals=2)
+    return top_per_group(totals, ["window_start", "window_end"], "total", "event_type", 3)
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
@@ -501,7 +501,7 @@ FROM ranked GROUP BY window_start"""
 @query(DASHBOARD_SQL.format(sales="""SELECT ts, event_type AS category,
     CAST(round(value * 100) AS BIGINT) AS c FROM events"""))
 def event_dashboard(t: Tables):
-    return daily_dashboard(t.events, "event_type", "value", "ts")
+    return daily_dashboard(t.events, "event_type", "value", "ts", decimals=2)
 
 
 @query(DASHBOARD_SQL.format(sales="""SELECT l_shipdate AS ts, p_brand AS category,
@@ -510,7 +510,7 @@ def event_dashboard(t: Tables):
 def festival_dashboard(t: Tables):
     sales = lookup_join(t.lineitem.select("l_partkey", "l_shipdate", "l_extendedprice"), t.part,
                         {"l_partkey": "p_partkey"}, ["p_brand"], missing="inner")
-    return daily_dashboard(sales, "p_brand", "l_extendedprice", "l_shipdate")
+    return daily_dashboard(sales, "p_brand", "l_extendedprice", "l_shipdate", decimals=2)
 
 
 @query("""WITH n AS (SELECT max(o_orderdate) AS now FROM orders)

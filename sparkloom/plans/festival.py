@@ -13,7 +13,8 @@ BEST = 3
 
 
 def daily_dashboard(sales: DataFrame, category: str, amount: str, time: str,
-                    hours_east: int = 8) -> DataFrame:
+                    hours_east: int = 8, decimals: int | None = None) -> DataFrame:
     """One row per local day: total and top categories."""
-    totals = category_totals(sales, category, amount, time, offset=local_day_offset(hours_east))
+    totals = category_totals(sales, category, amount, time, offset=local_day_offset(hours_east),
+                             decimals=decimals)
     return dashboard(totals, category, BEST)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions.numbers import cents, from_cents
 from sparkloom.functions.text import pair_text
 from sparkloom.operators.joins import interval_join, window_join
-from sparkloom.operators.ranking import dashboard
+from sparkloom.operators.ranking import dashboard, exact_sum
 from sparkloom.operators.sets import union_distinct
 from sparkloom.operators.windows import (arrival_totals, local_day_offset, session_totals,
                                          window_totals)
@@ -251,12 +251,12 @@ def stream_dashboard(t: Tables):
     """Running totals of open days in update mode; the second level reads the merged table."""
     root = shared_dir(t.spark, "dashboard")
     totals = window_totals(event_time(t.stream("events"), "ts", "1 day"), "ts", "1 day",
-                           ["event_type"], [F.sum(cents("value")).alias("total_cents")],
+                           ["event_type"], [exact_sum("value", 2).alias("total")],
                            offset=local_day_offset(8))
     table = KeyedTable(
         t.spark, f"{root}/table",
-        "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP", "total_cents BIGINT",
-        {"total_cents": REPLACE})
+        "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP", "total DOUBLE",
+        {"total": REPLACE})
     run_to(totals, upsert_batches(table), root, "update")
     return plain_times(dashboard(table.read(), "event_type"), "window_start", "window_end")
 

@@ -119,7 +119,7 @@ def changelog(df: DataFrame, keys: Sequence[str], seq: str, column: str,
               total: str = "total") -> DataFrame:
     """Withdraw and add rows of a keyed sum of a BIGINT column."""
     schema = StructType(_ddl(df, [*keys, seq]))
-    for name, kind in (("step", "integer"), ("is_add", "boolean"), (total, "bigint")):
+    for name, kind in (("step", "integer"), ("is_add", "boolean"), (total, "long")):
         schema = schema.add(name, kind)
     processor = Changelog(seq, column, schema.names)
     return df.groupBy(*keys).transformWithState(
