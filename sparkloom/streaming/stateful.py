@@ -153,7 +153,8 @@ def tag_late(df: DataFrame, time: str, length: str, lateness: str = "0 seconds",
     """All rows of a watermarked stream, with a mark on those that come too late.
 
     A watermark operator drops late rows; this one hands them on, so that they can be kept aside.
-    The rows are dealt over ``spread`` groups by a hash of their content and time.
+    The rows are dealt over ``spread`` groups by a hash of their content and time. Run it with a
+    processing-time trigger: under ``availableNow`` this kind of query never reports its end.
     """
     end = F.window(time, length).getField("end")
     ready = df.withColumn("__end_ms", F.unix_millis(end)).withColumn(
