@@ -84,7 +84,7 @@ def wide_rows(clicks: DataFrame, zone: str = "UTC", remember: str = "last",
 def stream_wide_rows(clicks: DataFrame, zone: str = "UTC", remember: str = "last") -> DataFrame:
     """Wide rows of a stream; the last visit of a user to a channel is keyed state."""
     ready = clicks.withColumn("__tie", F.xxhash64(*CLICK_FIELDS))
-    flagged = stateful.newness(ready, ["userID", "channelID"], "ts", "__tie", remember)
+    flagged = stateful.newness(ready, ["userID", "channelID"], "ts", "__tie", remember, zone)
     return time_columns(flagged.drop("__tie"), zone)
 
 

@@ -14,13 +14,9 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from sparkloom.functions.time import GRAIN_PATTERNS, duration_micros
+from sparkloom.functions.time import GRAIN_PATTERNS, duration_micros, in_zone
 from sparkloom.operators.newness import FLAGS
 
-# Strftime forms of the time grains, for use inside a processor.
-_GRAIN_FORMATS = {"hour": "%Y%m%d%H", "day": "%Y%m%d", "month": "%Y%m"}
-
-
 def _ddl(df: DataFrame, columns: Sequence[str]) -> list:
     return [df.schema[c] for c in columns]
 
@@ -65,35 +61,45 @@ def running_max(df: DataFrame, keys: Sequence[str], seq: str, column: str,
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
 
 
-class Newness(_Stored):
-    kind = "TIMESTAMP"
+class Newness(StatefulProcessor):
+    """Remembers a visit as its time and the texts of its periods."""
 
-    def __init__(self, time: str, seq: str, names: list[str], remember: str):
-        self.time, self.seq, self.names, self.remember = time, seq, names, remember
+    def __init__(self, seq: str, names: list[str], remember: str):
+        self.seq, self.names, self.remember = seq, names, remember
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        periods = ", ".join(f"{grain} STRING" for grain in GRAIN_PATTERNS)
+        self.visit = handle.getValueState("visit", f"micros BIGINT, {periods}")
 
     def handleInputRows(self, key, rows, timerValues):
-        seen = self.load()
+        seen = tuple(self.visit.get()) if self.visit.exists() else None
         out = Row(*self.names)
-        for row in sorted(rows, key=lambda r: (r[self.time], r[self.seq])):
-            now = row[self.time]
+        for row in sorted(rows, key=lambda r: (r["__visit"]["micros"], r[self.seq])):
+            *given, visit = row
+            now = tuple(visit)
             flags = [int(seen is None)]
-            for grain in GRAIN_PATTERNS:
-                form = _GRAIN_FORMATS[grain]
-                flags.append(int(seen is None or now.strftime(form) > seen.strftime(form)))
-            yield out(*row, *flags)
+            flags += [int(seen is None or a > b) for a, b in zip(now[1:], seen[1:] if seen else now)]
+            yield out(*given, *flags)
             seen = now if seen is None or self.remember == "last" else max(seen, now)
         if seen is not None:
-            self.value.update((seen,))
+            self.visit.update(seen)
 
+    def close(self) -> None:
+        pass
 
-def newness(df: DataFrame, keys: Sequence[str], time: str, seq: str,
-            remember: str = "last") -> DataFrame:
+
+def newness(df: DataFrame, keys: Sequence[str], time: str, seq: str, remember: str = "last",
+            zone: str = "UTC") -> DataFrame:
     """Every visit with its newness flags; ``time`` is TIMESTAMP."""
     schema = StructType(list(df.schema.fields))
     for flag in FLAGS:
         schema = schema.add(flag, "integer")
-    processor = Newness(time, seq, schema.names, remember)
-    return df.groupBy(*keys).transformWithState(
+    local = in_zone(time, zone)
+    ready = df.withColumn("__visit", F.struct(
+        F.unix_micros(time).alias("micros"),
+        *[F.date_format(local, pattern).alias(g) for g, pattern in GRAIN_PATTERNS.items()]))
+    processor = Newness(seq, schema.names, remember)
+    return ready.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
 
 
