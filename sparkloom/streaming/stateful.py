@@ -61,6 +61,9 @@ def running_max(df: DataFrame, keys: Sequence[str], seq: str, column: str,
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
 
 
+_VISIT_SIZE = 1 + len(GRAIN_PATTERNS)      # time and one text per grain
+
+
 class Newness(StatefulProcessor):
     """Remembers a visit as its time and the texts of its periods."""
 
@@ -74,11 +77,10 @@ class Newness(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         seen = tuple(self.visit.get()) if self.visit.exists() else None
         out = Row(*self.names)
-        for row in sorted(rows, key=lambda r: (r["__visit"]["micros"], r[self.seq])):
-            *given, visit = row
-            now = tuple(visit)
-            flags = [int(seen is None)]
-            flags += [int(seen is None or a > b) for a, b in zip(now[1:], seen[1:] if seen else now)]
+        for row in sorted(rows, key=lambda r: (r["__micros"], r[self.seq])):
+            given, now = tuple(row)[:-_VISIT_SIZE], tuple(row)[-_VISIT_SIZE:]
+            flags = [1] * _VISIT_SIZE if seen is None else [
+                0, *[int(new > old) for new, old in zip(now[1:], seen[1:])]]
             yield out(*given, *flags)
             seen = now if seen is None or self.remember == "last" else max(seen, now)
         if seen is not None:
@@ -95,9 +97,9 @@ def newness(df: DataFrame, keys: Sequence[str], time: str, seq: str, remember: s
     for flag in FLAGS:
         schema = schema.add(flag, "integer")
     local = in_zone(time, zone)
-    ready = df.withColumn("__visit", F.struct(
-        F.unix_micros(time).alias("micros"),
-        *[F.date_format(local, pattern).alias(g) for g, pattern in GRAIN_PATTERNS.items()]))
+    ready = df.select(
+        *df.columns, F.unix_micros(time).alias("__micros"),
+        *[F.date_format(local, pattern).alias(f"__{g}") for g, pattern in GRAIN_PATTERNS.items()])
     processor = Newness(seq, schema.names, remember)
     return ready.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
