@@ -17,10 +17,12 @@ def parse_json(col: str | Column, schema) -> Column:
     return F.from_json(as_col(col), schema)
 
 
-def parse_nested(col: str | Column, outer_schema: str, field: str, inner_schema) -> Column:
-    """A JSON text whose ``field`` is itself a JSON text: struct of the outer with it parsed."""
-    outer = F.from_json(as_col(col), outer_schema)
-    return outer.withField(field, F.from_json(outer.getField(field), inner_schema))
+def parse_nested(df: DataFrame, col: str, outer_schema: str, field: str,
+                 inner_schema: str) -> DataFrame:
+    """JSON texts whose ``field`` is itself a JSON text, as columns: the outer fields with
+    ``field`` parsed to a struct. In steps, so that each text is parsed once."""
+    outer = df.select(F.from_json(col, outer_schema).alias("__outer")).select("__outer.*")
+    return outer.withColumn(field, F.from_json(field, inner_schema))
 
 
 def json_field(col: str | Column, name: str, kind: str = "string") -> Column:

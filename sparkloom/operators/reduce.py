@@ -5,9 +5,9 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 class Accumulator:
@@ -16,8 +16,8 @@ class Accumulator:
     def create(self):
         raise NotImplementedError
 
-    def add(self, acc, frame: pd.DataFrame):
-        """Fold a chunk of one key's rows into the accumulator."""
+    def add(self, acc, columns: dict[str, np.ndarray]):
+        """Fold a chunk of one key's rows, given as arrays by column name."""
         raise NotImplementedError
 
     def merge(self, a, b):
@@ -37,8 +37,8 @@ class Reduce(Accumulator):
     def create(self):
         return None
 
-    def add(self, acc, frame):
-        for value in frame[self.column]:
+    def add(self, acc, columns):
+        for value in columns[self.column].tolist():
             acc = value if acc is None else self.fn(acc, value)
         return acc
 
@@ -49,41 +49,74 @@ class Reduce(Accumulator):
         return (acc,)
 
 
-def aggregate_by_key(df: DataFrame, keys: Sequence[str], acc: Accumulator, schema: str, *,
-                     flush_keys: int = 100_000) -> DataFrame:
+def aggregate_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
+                     acc: Accumulator, schema: str, *, flush_keys: int = 100_000) -> DataFrame:
     """Combine per task, shuffle one accumulator per key and task, merge per key.
 
-    A busy key reaches its merge task as one small accumulator per map task, streamed in batches,
-    never as its rows. ``flush_keys`` bounds the accumulators a task holds.
+    A busy key reaches its merge task as one small accumulator per map task, never as its rows;
+    the sort below the merge runs and spills in the JVM, and the merge holds one key at a time.
+    ``flush_keys`` bounds the accumulators a map task holds. Keys travel as text and are cast back.
     """
-    keys = list(keys)
-    key_fields = [df.schema[k] for k in keys]
-    partial_schema = StructType(list(key_fields)).add("__acc", "binary")
-    out_schema = StructType(key_fields + _parse_datatype_string(schema).fields)
-
-    def rows_of(held: dict) -> pd.DataFrame:
-        out = pd.DataFrame(list(held), columns=keys)
-        out["__acc"] = [pickle.dumps(a) for a in held.values()]
-        return out
+    names = [f"__k{i}" for i in range(len(keys))]
+    as_text = [F.col(k).cast("string").alias(n) for k, n in zip(keys, names)]
+    key_schema = ", ".join(f"{n} STRING" for n in names)
 
     def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for frame in frames:
-            for key, rows in frame.groupby(keys, sort=False, dropna=False):
-                held[key] = acc.add(held[key] if key in held else acc.create(), rows)
+            for key, columns in _chunks(frame, names, values):
+                held[key] = acc.add(held[key] if key in held else acc.create(), columns)
             if len(held) > flush_keys:
-                yield rows_of(held)
+                yield _partials(held, names)
                 held = {}
         if held:
-            yield rows_of(held)
+            yield _partials(held, names)
 
-    # The annotations select the streamed form of applyInPandas.
-    def merge(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = acc.create()
+    def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, total = None, None
         for frame in frames:
-            for part in frame["__acc"]:
+            done = []
+            for *key, part in frame.itertuples(index=False, name=None):
+                key = tuple(key)
+                if key != current:
+                    if current is not None:
+                        done.append(current + tuple(acc.result(total)))
+                    current, total = key, acc.create()
                 total = acc.merge(total, pickle.loads(part))
-        yield pd.DataFrame([tuple(key) + tuple(acc.result(total))], columns=out_schema.names)
-
-    return (df.mapInPandas(combine, partial_schema)
-            .groupBy(*[F.col(k) for k in keys]).applyInPandas(merge, out_schema))
+            yield pd.DataFrame(done, columns=out_names, dtype=object)
+        if current is not None:
+            yield pd.DataFrame([current + tuple(acc.result(total))], columns=out_names,
+                               dtype=object)
+
+    partial = df.select(*as_text, *values).mapInPandas(combine, f"{key_schema}, __acc BINARY")
+    empty = df.sparkSession.createDataFrame([], f"{key_schema}, {schema}")
+    out_names = empty.columns
+    merged = (partial.repartition(*names).sortWithinPartitions(*names)
+              .mapInPandas(merge, empty.schema))
+    return merged.select(*[F.col(n).cast(df.schema[k].dataType).alias(k)
+                           for k, n in zip(keys, names)], *out_names[len(names):])
+
+
+def _chunks(frame: pd.DataFrame, names: list[str], values: Sequence[str]) -> Iterator[tuple]:
+    """Each key of a batch with its rows as array slices."""
+    if not len(frame):
+        return
+    codes = frame.groupby(names, sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(codes, kind="stable")
+    starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+    ends = np.append(starts[1:], len(order))
+    columns = {v: frame[v].to_numpy()[order] for v in values}
+    firsts = [frame[n].to_numpy()[order[starts]] for n in names]
+    for i, (start, end) in enumerate(zip(starts, ends)):
+        yield (tuple(_text(f[i]) for f in firsts),
+               {v: column[start:end] for v, column in columns.items()})
+
+
+def _text(key):
+    return key if isinstance(key, str) else None
+
+
+def _partials(held: dict, names: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame(list(held), columns=names, dtype=object)
+    out["__acc"] = [pickle.dumps(a) for a in held.values()]
+    return out

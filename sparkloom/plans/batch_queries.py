@@ -128,9 +128,9 @@ def nested_json(t: Tables):
                             F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
                             inner.alias("body"))
     lines = outer.select(row_json(outer).alias("value"))
-    parsed = lines.select(parse_nested("value", "count BIGINT, ts_ms BIGINT, body STRING", "body",
-                                       "id STRING, channel STRING, visitor STRING").alias("m"))
-    return parsed.select("m.body.*", "m.count", "m.ts_ms")
+    parsed = parse_nested(lines, "value", "count BIGINT, ts_ms BIGINT, body STRING", "body",
+                          "id STRING, channel STRING, visitor STRING")
+    return parsed.select("body.*", "count", "ts_ms")
 
 
 @query("SELECT event_type || ':' || count(*) AS value FROM events GROUP BY event_type")
@@ -220,7 +220,7 @@ def keyed_running_max(t: Tables):
           AS total_cents FROM orders GROUP BY o_custkey""")
 def custom_reduce(t: Tables):
     df = t.orders.select("o_custkey", cents("o_totalprice").alias("c"))
-    return aggregate_by_key(df, ["o_custkey"], Reduce("c", lambda a, b: a + b),
+    return aggregate_by_key(df, ["o_custkey"], ["c"], Reduce("c", lambda a, b: a + b),
                             "total_cents BIGINT")
 
 

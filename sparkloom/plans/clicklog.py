@@ -56,9 +56,9 @@ def click_message(seed: Column, time_ms: Column, *, channel: Column | None = Non
 
 def messages(lines: DataFrame, col: str = "value") -> DataFrame:
     """JSON lines to columns: the click fields, ``count``, ``timestamp`` (ms), ``ts`` (instant)."""
-    parsed = lines.select(parse_nested(col, MESSAGE_SCHEMA, "message", CLICK_SCHEMA).alias("m"))
-    return parsed.select("m.message.*", "m.count", F.col("m.timeStamp").alias("timestamp"),
-                         millis_to_instant("m.timeStamp").alias("ts"))
+    parsed = parse_nested(lines, col, MESSAGE_SCHEMA, "message", CLICK_SCHEMA)
+    return parsed.select("message.*", "count", F.col("timeStamp").alias("timestamp"),
+                         millis_to_instant("timeStamp").alias("ts"))
 
 
 def time_columns(df: DataFrame, zone: str = "UTC") -> DataFrame:

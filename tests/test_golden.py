@@ -185,8 +185,8 @@ def test_functions(spark):
     assert got.same_hour == 0 and got.day == "2021-01-21 16:00:00"
     assert duration_micros("1 hour 30 minutes") == 5_400_000_000
     nested = elements(spark, ['{"n": 1, "m": "{\\"x\\": 7}"}'], "value STRING")
-    assert nested.select(parse_nested("value", "n INT, m STRING", "m", "x STRING").alias("r")) \
-        .select("r.m.x").first()[0] == "7"
+    parsed = parse_nested(nested, "value", "n INT, m STRING", "m", "x STRING")
+    assert parsed.select("m.x", "n").first()[:] == ("7", 1)
 
 
 def test_csv_lines_and_sensor_windows(spark):
@@ -228,8 +228,8 @@ class Mean(Accumulator):
     def create(self):
         return (0, 0)
 
-    def add(self, acc, frame):
-        return acc[0] + int(frame["v"].sum()), acc[1] + len(frame)
+    def add(self, acc, columns):
+        return acc[0] + int(columns["v"].sum()), acc[1] + len(columns["v"])
 
     def merge(self, a, b):
         return a[0] + b[0], a[1] + b[1]
@@ -239,10 +239,14 @@ class Mean(Accumulator):
 
 
 def test_user_accumulator(spark):
-    df = sequence(spark, 1, 1000, 8).select((F.col("value") % 3).alias("k"),
-                                            F.col("value").alias("v"))
-    got = aggregate_by_key(df, ["k"], Mean(), "mean DOUBLE", flush_keys=1)
-    assert rows(got) == rows(df.groupBy("k").agg(F.avg("v")))
+    value = F.col("value")
+    df = sequence(spark, 1, 1000, 8).select(
+        F.when(value % 4 > 0, value % 4).alias("k"), (value % 2).cast("string").alias("j"),
+        value.alias("v"))
+    for keys in (["k"], ["k", "j"]):
+        got = aggregate_by_key(df, keys, ["v"], Mean(), "mean DOUBLE", flush_keys=1)
+        assert got.schema["k"].dataType.typeName() == "long"
+        assert rows(got) == rows(df.groupBy(*keys).agg(F.avg("v")))
 
 
 def test_generators(spark):
