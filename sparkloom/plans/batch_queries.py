@@ -29,6 +29,7 @@ from sparkloom.plans.festival import daily_dashboard
 from sparkloom.plans.registry import Tables, query
 from sparkloom.plans.reviews import auto_reviews, review_status
 from sparkloom.plans.word_count import word_count as count_words
+from sparkloom.session import stored
 
 
 def n_rows():
@@ -568,7 +569,8 @@ def click_lines(events):
                   strftime(ts, '%Y%m%d%H') AS "yearMonthDayHour", CAST(1 AS BIGINT) AS "count",
                   is_new, is_hour_new, is_day_new, is_month_new FROM ({NEWNESS_SQL})""")
 def click_wide(t: Tables):
-    wide = clicklog.wide_rows(clicklog.messages(click_lines(t.events)))
+    # The flags take several passes over the clicks, so the JSON is parsed into a table first.
+    wide = clicklog.wide_rows(stored(clicklog.messages(click_lines(t.events)), "clicks"))
     return wide.select("channelID", "userID", "timestamp", "yearMonth", "yearMonthDay",
                        "yearMonthDayHour", "count", "is_new", "is_hour_new", "is_day_new",
                        "is_month_new")
@@ -590,7 +592,8 @@ def channel_heat(t: Tables):
                  UNION ALL SELECT event_type, strftime(ts, '%Y%m'), is_month_new
                  FROM ({NEWNESS_SQL})) GROUP BY ALL""")
 def channel_pvuv(t: Tables):
-    wide = clicklog.wide_rows(clicklog.messages(click_lines(t.events)))
+    # The flags take several passes over the clicks, so the JSON is parsed into a table first.
+    wide = clicklog.wide_rows(stored(clicklog.messages(click_lines(t.events)), "clicks"))
     return (clicklog.channel_periods(wide).groupBy("channelID", "period")
             .agg(F.sum("pv").alias("pv"), F.sum("uv").alias("uv")))
 

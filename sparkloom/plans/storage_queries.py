@@ -88,8 +88,7 @@ def dated_files(t: Tables):
     """One folder per month keeps the number of files in hand; the date is read from the rows."""
     path = shared_dir(t.spark, "dated")
     month = F.date_trunc("month", "o_orderdate")
-    write_dated(t.orders.withColumn("month", month).repartition("month"), path, "month",
-                max_rows_per_file=1_000_000)
+    write_dated(t.orders.withColumn("month", month), path, "month", max_rows_per_file=1_000_000)
     return (t.spark.read.parquet(path)
             .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"))
             .agg(n_rows(), F.max("o_orderkey").alias("last_id")))

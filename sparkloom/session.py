@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -70,3 +70,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_fallback.setdefault("dir", tempfile.mkdtemp(prefix="sparkloom-"))
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table on shared storage, written now.
+
+    For inputs that are costly to compute and read several times: later passes read only their
+    columns, and a lost executor costs a read instead of the computation.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -50,8 +50,13 @@ def with_date(df: DataFrame, time_col: str | Column | None = None, name: str = "
 
 def write_dated(df: DataFrame, path: str, time_col: str | None = None, fmt: str = "parquet",
                 max_rows_per_file: int = 0) -> None:
-    """Batch files in one folder per date. A full date is split by the row limit."""
-    writer = with_date(df, time_col).write.mode("overwrite").partitionBy("dt")
+    """Batch files in one folder per date.
+
+    Rows of a date meet in few tasks, so there are few files; the rebalance splits dates that are
+    too big for one task. ``max_rows_per_file`` splits files further.
+    """
+    dated = with_date(df, time_col).hint("rebalance", F.col("dt"))
+    writer = dated.write.mode("overwrite").partitionBy("dt")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.format(fmt).save(path)

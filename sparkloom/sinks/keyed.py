@@ -33,8 +33,7 @@ class KeyedTable:
         # Created if missing; "ignore" leaves an existing table alone.
         changes = empty.withColumn("__gone", F.lit(False))
         changes.write.mode("ignore").parquet(f"{root}/changes/batch_id=-1")
-        spark.createDataFrame([(-1,)], "upto BIGINT").coalesce(1).write.mode("ignore").parquet(
-            f"{root}/log")
+        self._note("base", -1, "ignore")
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -48,6 +47,7 @@ class KeyedTable:
         gone = keys.select(*self.keys).distinct()
         for c in self.columns:
             gone = gone.withColumn(c, F.lit(None).cast(self._types[c]))
+        self._note("delete", batch_id)
         self._write(gone.withColumn("__gone", F.lit(True)), batch_id)
 
     def _in_batch(self, column: str, order: str | None):
@@ -67,7 +67,7 @@ class KeyedTable:
 
     def read(self, before: int | None = None) -> DataFrame:
         """One row per key; ``before`` leaves out that batch and later ones."""
-        base_upto = self._base(before)
+        base_upto, last_delete = self._marks(before)
         changes = self.spark.read.parquet(f"{self.root}/changes")
         changes = changes.where(F.col("batch_id") > base_upto)
         if before is not None:
@@ -77,14 +77,17 @@ class KeyedTable:
             base = self.spark.read.parquet(f"{self.root}/base/upto={base_upto}")
             rows = rows.unionByName(base.select(
                 *self.keys, *self.columns, F.lit(base_upto).alias("batch_id")))
+        alive = self._not_deleted(rows, changes) if last_delete > base_upto else rows
+        return alive.groupBy(*self.keys).agg(*[
+            (F.max_by(c, "batch_id") if rule == REPLACE else _MERGE[rule](c))
+            .cast(self._types[c]).alias(c) for c, rule in self.rules.items()])
+
+    def _not_deleted(self, rows: DataFrame, changes: DataFrame) -> DataFrame:
         gone = (changes.where("__gone").groupBy(*[F.col(k).alias(f"__g_{k}") for k in self.keys])
                 .agg(F.max("batch_id").alias("__gone_at")))
         same = reduce(lambda a, b: a & b,
                       [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in self.keys])
-        alive = rows.join(gone, same & (F.col("batch_id") <= F.col("__gone_at")), "left_anti")
-        return alive.groupBy(*self.keys).agg(*[
-            (F.max_by(c, "batch_id") if rule == REPLACE else _MERGE[rule](c))
-            .cast(self._types[c]).alias(c) for c, rule in self.rules.items()])
+        return rows.join(gone, same & (F.col("batch_id") <= F.col("__gone_at")), "left_anti")
 
     def get(self, keys: DataFrame, columns: Sequence[str] | None = None,
             defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -98,15 +101,20 @@ class KeyedTable:
     def compact(self, upto: int) -> None:
         """Merge all batches up to and with ``upto`` into a new base."""
         self.read(before=upto + 1).write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
-        self.spark.createDataFrame([(upto,)], "upto BIGINT").coalesce(1).write.mode(
-            "append").parquet(f"{self.root}/log")
+        self._note("base", upto)
+
+    def _note(self, event: str, batch_id: int, mode: str = "append") -> None:
+        (self.spark.createDataFrame([(event, batch_id)], "event STRING, batch_id BIGINT")
+         .coalesce(1).write.mode(mode).parquet(f"{self.root}/log"))
 
-    def _base(self, before: int | None) -> int:
+    def _marks(self, before: int | None) -> tuple[int, int]:
+        """The newest base and delete that a reader has to know of."""
         log = self.spark.read.parquet(f"{self.root}/log")
         if before is not None:
-            log = log.where(F.col("upto") < before)
-        upto = log.agg(F.max("upto")).first()[0]
-        return -1 if upto is None else upto
+            log = log.where(F.col("batch_id") < before)
+        marks = log.agg(*[F.max(F.when(F.col("event") == e, F.col("batch_id")))
+                          for e in ("base", "delete")]).first()
+        return tuple(-1 if m is None else m for m in marks)
 
 
 def upsert_batches(table: KeyedTable, order: str | None = None, compact_every: int = 50):

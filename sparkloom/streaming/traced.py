@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from sparkloom.operators.running import SLICE_ROWS, running
@@ -37,6 +38,14 @@ class Traced:
             {n: _RULES[kind] for n, (kind, _) in measures.items()})
 
     def deliver(self, batch: DataFrame, batch_id: int) -> None:
+        # Several passes follow; the micro-batch is kept so that its source is read once.
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._deliver(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    def _deliver(self, batch: DataFrame, batch_id: int) -> None:
         traced = running(batch, self.keys, self.order, self.measures, inclusive=self.inclusive,
                          rows=self.rows)
         before = self.table.read(before=batch_id)
