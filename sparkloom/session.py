@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import sparkloom
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Runtime settings every operator relies on; all of them can be changed on a live session.
@@ -21,7 +23,6 @@ RUNTIME_CONF = {
 }
 
 _local_fallback: dict[str, str] = {}
-_shipped: set[str] = set()
 
 
 def build_session(app: str = "sparkloom", master: str | None = None,
@@ -38,15 +39,12 @@ def build_session(app: str = "sparkloom", master: str | None = None,
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Give Python workers this package, as ``--py-files`` would; once per application."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = os.path.dirname(os.path.abspath(__file__))
-        archive = shutil.make_archive(
-            os.path.join(tempfile.mkdtemp(prefix="sparkloom-"), "sparkloom"), "zip",
-            os.path.dirname(package), os.path.basename(package))
-        spark.sparkContext.addPyFile(archive)
-        _shipped.add(app)
+    """Send this package's functions to Python workers by value.
+
+    The package then need not be installed on executors. A file given to ``--py-files`` would not
+    do: the worker that sets up a stateful streaming operator does not load such files.
+    """
+    cloudpickle.register_pickle_by_value(sparkloom)
     return spark
 
 
