@@ -46,7 +46,7 @@ def with_slices(df: DataFrame, keys: Sequence[str], position: Column,
     if not keys:
         # One group only: its size and range are scalar subqueries.
         cut = df.agg(F.struct(count.alias("n"), low.alias("lo"), high.alias("hi")).alias("s"))
-        return _slice_by(df, cut.scalar(), position, rows, always=True)
+        return _slice_by(df, cut.scalar(), position, rows)
     cut = (df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys])
            .agg(F.struct(count.alias("n"), low.alias("lo"), high.alias("hi")).alias("__size"))
            .where(F.col("__size.n") > rows))
@@ -54,17 +54,16 @@ def with_slices(df: DataFrame, keys: Sequence[str], position: Column,
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     joined = df.join(F.broadcast(cut), same, "left")
-    return (_slice_by(joined, F.col("__size"), position, rows, always=False)
-            .select(*df.columns, SLICE))
+    return _slice_by(joined, F.col("__size"), position, rows).select(*df.columns, SLICE)
 
 
-def _slice_by(df: DataFrame, size: Column, position: Column, rows: int,
-              always: bool) -> DataFrame:
+def _slice_by(df: DataFrame, size: Column, position: Column, rows: int) -> DataFrame:
     # Twice as many slices as the count asks for, since rows are rarely spread evenly.
     slices = F.ceil(size["n"] * 2.0 / rows)
     number = F.floor((position - size["lo"]) / (size["hi"] - size["lo"] + 1.0) * slices)
-    number = F.coalesce(number.cast("long"), F.lit(0 if always else WHOLE).cast("long"))
-    return df.withColumn(SLICE, number)
+    # Missing positions sort first, so they belong to the first slice.
+    cut = F.coalesce(number.cast("long"), F.lit(0).cast("long"))
+    return df.withColumn(SLICE, F.when(size["n"].isNull(), WHOLE).otherwise(cut))
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Measures, *,

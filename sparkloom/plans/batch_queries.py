@@ -11,7 +11,7 @@ from sparkloom.functions.numbers import (cents, from_cents, is_even, larger, mon
 from sparkloom.functions.text import blank_as, missing_as, pair_text
 from sparkloom.functions.time import format_millis, later_at_grain
 from sparkloom.operators.changelog import changelog
-from sparkloom.operators.joins import interval_join, last_per_key, lookup_join, window_join
+from sparkloom.operators.joins import last_per_key, lookup_join
 from sparkloom.operators.lateness import lateness_totals, tag_lateness, watermark_audit
 from sparkloom.operators.lookups import service_lookup
 from sparkloom.operators.newness import newness
@@ -22,9 +22,11 @@ from sparkloom.operators.rows import (as_pairs, drop_containing, keep_any, parse
                                       tag_rows, view_of)
 from sparkloom.operators.running import running_max, running_sum
 from sparkloom.operators.sets import map_to_common, union_all, union_distinct
+from sparkloom.operators.user_functions import flat_map, keep_rows, map_values
 from sparkloom.operators.windows import (count_windows, first_in_window, session_totals,
                                          window_elements, window_totals)
-from sparkloom.plans import clicklog, etl
+from sparkloom.plans import clicklog, etl, traffic
+from sparkloom.plans.facts import facts_by_interval, facts_by_window
 from sparkloom.plans.festival import daily_dashboard
 from sparkloom.plans.registry import Tables, query
 from sparkloom.plans.reviews import auto_reviews, review_status
@@ -112,6 +114,34 @@ def sensor_lines(t: Tables):
             .groupBy("sensor").agg(F.sum("count").alias("n")))
 
 
+@query("""SELECT 'u' || user_id AS sensor, time_bucket(INTERVAL 6 HOUR, ts) AS window_start,
+                 time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end,
+                 CAST(sum(CAST(floor(value) AS INT)) AS BIGINT) AS count
+          FROM events GROUP BY ALL""")
+def traffic_counts(t: Tables):
+    """Lines are parsed, then counted per sensor and window."""
+    line = F.concat_ws(",", F.concat(F.lit("u"), F.col("user_id")),
+                       F.floor("value").cast("string"))
+    lines = t.events.select("ts", line.alias("value"))
+    read = lines.select("ts", F.from_csv("value", traffic.LINE).alias("r")).select("ts", "r.*")
+    return traffic.tumbling(read, "ts", "6 hours")
+
+
+@query("""SELECT event_id, value * 2 + 1 AS doubled, n FROM events, (VALUES (1), (2)) AS o(n)
+          WHERE value > 10""")
+def user_functions(t: Tables):
+    """The same by user code: a filter, a column and two rows for one."""
+    kept = keep_rows(t.events.select("event_id", "value"), lambda v: v > 10, "value")
+    doubled = kept.select("event_id", map_values(lambda v: v * 2 + 1, "double", "value")
+                          .alias("doubled"))
+
+    def twice(frame):
+        for n in (1, 2):
+            yield frame.assign(n=n)
+
+    return flat_map(doubled, twice, "event_id BIGINT, doubled DOUBLE, n INT")
+
+
 @query("""SELECT user_id, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT)
           AS total FROM events GROUP BY user_id""")
 def json_parse(t: Tables):
@@ -410,24 +440,29 @@ def count_window_sliding(t: Tables):
           JOIN (SELECT *, make_timestamp((epoch_us(o_orderdate) // 2419200000000) * 2419200000000)
                 AS v FROM orders) ON l_orderkey = o_orderkey AND w = v""")
 def window_joined(t: Tables):
-    joined = window_join(
+    joined = facts_by_window(
         t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"),
         t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
-        {"l_orderkey": "o_orderkey"}, "l_shipdate", "o_orderdate", "28 days")
-    total = money_product("l_quantity", "o_totalprice").cast("double").alias("total_money")
-    return joined.select("l_orderkey", "l_linenumber", "o_custkey", total,
+        {"l_orderkey": "o_orderkey"}, "l_shipdate", "o_orderdate", "28 days",
+        "l_quantity", "o_totalprice")
+    return joined.select("l_orderkey", "l_linenumber", "o_custkey",
+                         F.col("total_money").cast("double").alias("total_money"),
                          "window_start", "window_end")
 
 
-@query("""SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate, o_orderdate
+@query("""SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate, o_orderdate,
+                 CAST(CAST(l_quantity AS DECIMAL(10,0)) * CAST(o_totalprice AS DECIMAL(18,2))
+                      AS DOUBLE) AS total_money
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey
            AND o_orderdate BETWEEN l_shipdate - INTERVAL 60 DAY AND l_shipdate + INTERVAL 30 DAY""")
 def interval_joined(t: Tables):
-    joined = interval_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate"),
-                           t.orders.select("o_orderkey", "o_custkey", "o_orderdate"),
-                           {"l_orderkey": "o_orderkey"}, "l_shipdate", "o_orderdate",
-                           "-60 days", "30 days")
-    return joined.drop("o_orderkey")
+    joined = facts_by_interval(
+        t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"),
+        t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
+        {"l_orderkey": "o_orderkey"}, "l_shipdate", "o_orderdate", "-60 days", "30 days",
+        "l_quantity", "o_totalprice")
+    return joined.select("l_orderkey", "l_linenumber", "o_custkey", "l_shipdate", "o_orderdate",
+                         F.col("total_money").cast("double").alias("total_money"))
 
 
 @query("""SELECT doc_id, lang, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic

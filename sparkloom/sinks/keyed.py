@@ -26,7 +26,8 @@ class KeyedTable:
                  rules: Mapping[str, str]):
         self.spark, self.root, self.rules = spark, root, dict(rules)
         schema = f"{keys}, {columns}"
-        empty = spark.createDataFrame([], schema)
+        nothing = spark.range(0).select(F.lit("{}").alias("row"))
+        empty = nothing.select(F.from_json("row", schema).alias("r")).select("r.*")
         self.columns = list(self.rules)
         self.keys = [c for c in empty.columns if c not in self.rules]
         self._types = dict(empty.dtypes)
@@ -104,8 +105,9 @@ class KeyedTable:
         self._note("base", upto)
 
     def _note(self, event: str, batch_id: int, mode: str = "append") -> None:
-        (self.spark.createDataFrame([(event, batch_id)], "event STRING, batch_id BIGINT")
-         .coalesce(1).write.mode(mode).parquet(f"{self.root}/log"))
+        mark = self.spark.range(1, numPartitions=1).select(
+            F.lit(event).alias("event"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        mark.write.mode(mode).parquet(f"{self.root}/log")
 
     def _marks(self, before: int | None) -> tuple[int, int]:
         """The newest base and delete that a reader has to know of."""

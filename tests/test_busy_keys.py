@@ -102,3 +102,15 @@ def test_long_windows_are_listed_in_parts(skewed):
     parts = window_elements(skewed, "ts", "1 hour", "k", ["ts", "id"], per_row=20)
     assert parts.agg(F.max("n_elements")).first()[0] == 20
     assert parts.agg(F.sum("n_elements")).first()[0] == 3000
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_missing_order_values_come_first(spark, size):
+    df = spark.range(0, 400, 1, 4).select(
+        "id", F.lit(1).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("at"),
+        (F.col("id") % 7).alias("v"))
+    w = Window.partitionBy("k").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+    got = running(df, ["k"], ["at", "id"], {"s": ("sum", "v")}, rows=size)
+    assert rows(got) == rows(df.withColumn("s", F.sum("v").over(w)))
+    alone = running(df.drop("k"), [], ["at", "id"], {"s": ("sum", "v")}, rows=size)
+    assert rows(alone) == rows(df.withColumn("s", F.sum("v").over(w)).drop("k"))

@@ -17,7 +17,9 @@ from sparkloom.operators.rows import keep_any, parse_csv, route, with_partition
 from sparkloom.operators.running import running_max
 from sparkloom.operators.sets import map_to_common, union_all, union_distinct
 from sparkloom.operators.windows import session_totals, window_totals
-from sparkloom.plans import clicklog, etl
+from sparkloom.operators.user_functions import map_with_resource
+from sparkloom.plans import clicklog, etl, traffic
+from sparkloom.plans.facts import facts_by_interval, facts_by_window
 from sparkloom.plans.festival import daily_dashboard
 from sparkloom.plans.word_count import word_count
 from sparkloom.sources.generators import (GOODS, batch_ticks, click_lines, festival_sales, goods,
@@ -28,9 +30,9 @@ from tests.conftest import rows
 
 
 def test_word_count_literal(spark):
-    lines = elements(spark, ["itcast hadoop spark", "itcast hadoop spark", "itcast hadoop",
-                             "itcast"], "value STRING")
-    assert rows(word_count(lines)) == [("hadoop", 3), ("itcast", 4), ("spark", 2)]
+    lines = elements(spark, ["alpha hadoop spark", "alpha hadoop spark", "alpha hadoop",
+                             "alpha"], "value STRING")
+    assert rows(word_count(lines)) == [("alpha", 4), ("hadoop", 3), ("spark", 2)]
 
 
 def test_word_count_keeps_inner_empty_fields(spark):
@@ -40,10 +42,10 @@ def test_word_count_keeps_inner_empty_fields(spark):
 
 
 def test_custom_partition(spark):
-    words = elements(spark, "hadoop hello flink hello hadoop spark".split(), "word STRING")
+    words = elements(spark, "hadoop hello hive hello hadoop spark".split(), "word STRING")
     placed = with_partition(by_rule(words, 2, F.when(F.col("word") == "hello", 0).otherwise(1)))
     got = {(r.word, r.partition) for r in placed.collect()}
-    assert got == {("hello", 0), ("hadoop", 1), ("flink", 1), ("spark", 1)}
+    assert got == {("hello", 0), ("hadoop", 1), ("hive", 1), ("spark", 1)}
 
 
 def test_exact_lines(spark):
@@ -277,3 +279,47 @@ def test_window_totals_of_stream_and_batch_share_columns(spark):
     got = window_totals(ticks, "timestamp", "10 seconds", [], [F.count(F.lit(1)).alias("n")])
     assert got.columns == ["window_start", "window_end", "n"]
     assert [r.n for r in got.collect()] == [10, 10]
+
+
+def test_traffic(spark):
+    lines = elements(spark, [(s, f"9,{s}") for s in (0, 3, 4, 12, 40)], "s INT, value STRING")
+    read = traffic.cars(lines).withColumn("ts", F.lit(None).cast("timestamp"))
+    assert read.columns == ["sensor", "count", "ts"]
+    timed = lines.select(F.lit("9").alias("sensor"), F.col("s").alias("count"),
+                         F.timestamp_seconds("s").alias("ts"))
+    assert sorted(r["count"] for r in traffic.tumbling(timed, "ts").collect()) == [7, 12, 40]
+    assert sorted(r["count"] for r in traffic.sliding(timed, "ts").collect()) == [7, 7, 12, 12, 40, 40]
+    assert sorted(r["count"] for r in traffic.sessions(timed, "ts").collect()) == [19, 40]
+    assert traffic.arriving(timed).agg(F.sum("count")).first()[0] == 59
+
+
+def test_resource_per_task(spark, tmp_path):
+    path = str(tmp_path / "opened")
+
+    class Resource:
+        def __init__(self):
+            with open(path, "a") as f:
+                f.write("o")
+
+        def close(self):
+            with open(path, "a") as f:
+                f.write("c")
+
+    df = sequence(spark, 1, 10, 1)
+    got = map_with_resource(df, Resource, lambda r, frame: frame.assign(value=frame.value + 1),
+                            "value BIGINT")
+    assert rows(got) == sorted([(i,) for i in range(2, 12)], key=repr)
+    assert open(path).read() == "oc"
+
+
+def test_goods_facts(spark):
+    shop = goods(batch_ticks(spark, 30))
+    items = order_items(batch_ticks(spark, 30))
+    on = {"item_goods_id": "goods_id"}
+    by_window = facts_by_window(items, shop, on, "item_ts", "goods_ts", "5 seconds", "count",
+                                "goods_price")
+    assert by_window.count() == 150
+    assert by_window.where("total_money <> count * goods_price").count() == 0
+    near = facts_by_interval(items, shop, on, "item_ts", "goods_ts", "-2 seconds", "1 second",
+                             "count", "goods_price")
+    assert near.count() == 30 * 4 - 1 - 2 - 1

@@ -24,7 +24,7 @@ from tests.conftest import rows
 
 
 def test_text_files_and_archives(spark, tmp_path):
-    lines = ["hadoop hello flink", "hello hadoop", "spark"]
+    lines = ["hadoop hello hive", "hello hadoop", "spark"]
     text = "\n".join(lines) + "\n"
     (tmp_path / "plain").mkdir()
     (tmp_path / "plain" / "a.txt").write_text(text)
