@@ -175,62 +175,51 @@ def tag_late(df: DataFrame, time: str, length: str, lateness: str = "0 seconds",
 
 
 class ReviewTimer(StatefulProcessor):
-    """Pending orders in a map; a timer per order asks whether it was reviewed in time."""
+    """A map of what is known of an order, ``order`` to its due time and ``review`` to its time,
+    and a timer that asks whether the review came in time."""
 
     def __init__(self, wait_ms: int, names: list[str], event_time: bool):
         self.wait_ms, self.names, self.event_time = wait_ms, names, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "order_id STRING", "due BIGINT")
-        self.reviewed = handle.getMapState("reviewed", "order_id STRING", "at BIGINT")
-
-    def _now(self, timerValues) -> int:
-        return (timerValues.getCurrentWatermarkInMs() if self.event_time
-                else timerValues.getCurrentProcessingTimeInMs())
+        self.known = handle.getMapState("known", "kind STRING", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
+        now = (timerValues.getCurrentWatermarkInMs() if self.event_time
+               else timerValues.getCurrentProcessingTimeInMs())
         for row in rows:
             at = int(row["at_ms"])
-            if row["kind"] == "order":
-                due = max(at + self.wait_ms, self._now(timerValues) + 1)
-                self.pending.updateValue((row["order_id"],), (due,))
-                self.handle.registerTimer(due)
-            else:
-                self.reviewed.updateValue((row["order_id"],), (at,))
-                # A review whose order never shows up is forgotten by this timer.
-                self.handle.registerTimer(max(at + self.wait_ms, self._now(timerValues) + 1))
+            due = max(at + self.wait_ms, now + 1)
+            self.known.updateValue((row["kind"],), (due if row["kind"] == "order" else at,))
+            # A review has a timer too, which forgets it if its order never shows up.
+            self.handle.registerTimer(due)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         fired = expiredTimerInfo.getExpiryTimeInMs()
-        out = Row(*self.names)
-        due = {k[0]: v[0] for k, v in self.pending.iterator() if v[0] <= fired}
-        for order_id, until in due.items():
-            at = self.reviewed.getValue((order_id,))
-            self.pending.removeKey((order_id,))
-            yield out(key[0], order_id, "reviewed" if at and at[0] <= until else "auto")
-        stale = [k[0] for k, v in self.reviewed.iterator() if v[0] + self.wait_ms <= fired]
-        for order_id in stale:
-            if not self.pending.containsKey((order_id,)):
-                self.reviewed.removeKey((order_id,))
+        due, review = self.known.getValue(("order",)), self.known.getValue(("review",))
+        if due and due[0] <= fired:
+            status = "reviewed" if review and review[0] <= due[0] else "auto"
+            self.known.clear()
+            yield Row(*self.names)(*key, status)
+        elif review and not due and review[0] + self.wait_ms <= fired:
+            self.known.clear()
 
     def close(self) -> None:
         pass
 
 
-def review_timers(df: DataFrame, wait: str, *, event_time: bool = True,
-                  spread: int = 1024) -> DataFrame:
+def review_timers(df: DataFrame, wait: str, *, event_time: bool = True) -> DataFrame:
     """Orders and reviews in one stream to one row per order once its wait is over.
 
-    Input columns: ``user_id``, ``order_id`` (text), ``kind`` (``order`` or ``review``) and ``ts``,
-    watermarked when ``event_time``; else the clock decides. A user's orders are dealt over
-    ``spread`` groups, so a busy user is no bottleneck and a timer looks through few orders.
+    Input columns: ``user_id``, ``order_id``, ``kind`` (``order`` or ``review``) and ``ts``,
+    watermarked when ``event_time``; else the clock decides. State is kept per order and not per
+    user, so a busy user is no bottleneck and a timer looks at one order only.
     """
-    ready = df.select("user_id", F.pmod(F.xxhash64("order_id"), F.lit(spread)).alias("slot"),
-                      "order_id", "kind", "ts", F.unix_millis("ts").alias("at_ms"))
-    schema = StructType([df.schema["user_id"]]).add("order_id", "string").add("status", "string")
+    ready = df.select("user_id", "order_id", "kind", "ts", F.unix_millis("ts").alias("at_ms"))
+    schema = StructType(_ddl(df, ["user_id", "order_id"])).add("status", "string")
     processor = ReviewTimer(duration_micros(wait) // 1000, schema.names, event_time)
-    return ready.groupBy("user_id", "slot").transformWithState(
+    return ready.groupBy("user_id", "order_id").transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append",
         timeMode="EventTime" if event_time else "ProcessingTime")

@@ -162,7 +162,7 @@ def test_review_timers_on_event_time(spark, folder):
         [("v", "o3", "order", 20)], [("v", "o9", "review", 21)], [("v", "o4", "order", 60)]],
         schema)
     timed = event_time(stream, "ts", "1 second")
-    got = appended(spark, stateful.review_timers(timed, "5 seconds", spread=2), folder)
+    got = appended(spark, stateful.review_timers(timed, "5 seconds"), folder)
     assert rows(got, "order_id", "status") == [("o1", "auto"), ("o2", "reviewed"), ("o3", "auto")]
 
 
