@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sparkloom.plans import catalogue
 from tests.conftest import SMALL
 from tests.oracle import assert_same, connect
 
@@ -20,7 +21,7 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(catalogue.QUERIES) == set(catalogue.SQL)
 
 
 def test_entry(spark):
