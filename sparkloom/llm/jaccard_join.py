@@ -38,6 +38,7 @@ from sparkloom.llm.workspace import Workspace
 
 SKETCH_BITS = 20      # buckets of the count of texts per shingle
 BLOCK = 1 << 12       # buckets in one row of that table
+BROADCAST_ROWS = 1 << 20   # ids (one long each) sent to all executors; more are joined by shuffle
 RING = 2 ** 0.5       # upper size of a ring over its lower
 CENTRES = 4           # pivots of a region that get a ball
 MORE_STRAYS = 16      # growth per round of the pivots taken from the smaller components
@@ -58,7 +59,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
 
     profile = work.keep("profile", docs.mapInArrow(
         partial(_profile, words=words),
-        "id long, n int, sum long, xor long, block int, counts binary"))
+        "id long, n int, sum long, xor long, bins binary, block int, counts binary"))
     rows = profile.where("block IS NULL").select("id", "n", "sum", "xor")
     classes = rows.where("n > 0").groupBy("n", "sum", "xor").agg(F.min("id").alias("rep"))
     of_row = work.keep("of-row", rows.join(classes, ["n", "sum", "xor"], "left")
@@ -67,7 +68,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     rank = _rank_of_buckets(profile)
 
     members = _shared_prefixes(docs, of_row, words, percent, rank, work)
-    labels = _join_regions(docs, members, words, percent, work)
+    labels = _join_regions(docs, profile, members, words, percent, work)
     return (of_row.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("label", "rep").alias("component_id")))
@@ -79,7 +80,7 @@ def _profile(batches, words: int):
     """Set size and fingerprints per text; at the end of the task its counts of texts per bucket."""
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for batch in batches:
-        ids, sizes, sums, xors = batch.column(0), [], [], []
+        ids, sizes, sums, xors, bins = batch.column(0), [], [], [], []
         for chunk in chunks(batch.column(1)):
             sets = shingle_sets(chunk, words)
             for one in sets:
@@ -87,20 +88,33 @@ def _profile(batches, words: int):
                 sums.append(int(one.sum(dtype=np.uint64).view(np.int64)))
                 xors.append(int(np.bitwise_xor.reduce(mix(one ^ np.uint64(77))).view(np.int64))
                             if len(one) else 0)
+                bins.append(_bins(one))
             counts += np.bincount(_bucket(np.concatenate(sets)), minlength=len(counts))
         empty = pa.nulls(len(ids))
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(sizes, pa.int32()), pa.array(sums, pa.int64()),
-             pa.array(xors, pa.int64()), empty.cast(pa.int32()), empty.cast(pa.binary())],
-            ["id", "n", "sum", "xor", "block", "counts"])
+             pa.array(xors, pa.int64()), pa.array(bins, pa.binary()), empty.cast(pa.int32()),
+             empty.cast(pa.binary())],
+            ["id", "n", "sum", "xor", "bins", "block", "counts"])
     if counts.any():
         blocks = counts.reshape(-1, BLOCK)
         none = pa.nulls(len(blocks))
         yield pa.RecordBatch.from_arrays(
             [none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()),
-             none.cast(pa.int64()), pa.array(range(len(blocks)), pa.int32()),
+             none.cast(pa.int64()), none.cast(pa.binary()), pa.array(range(len(blocks)), pa.int32()),
              pa.array([b.tobytes() for b in blocks], pa.binary())],
-            ["id", "n", "sum", "xor", "block", "counts"])
+            ["id", "n", "sum", "xor", "bins", "block", "counts"])
+
+
+def _bins(one: np.ndarray) -> bytes:
+    """How many shingles fall in each of about n / 4 bins, a byte each (more bins if one runs over)."""
+    size = 1 << max(4, (len(one) // 4).bit_length())
+    spread = mix(one)
+    while True:
+        counts = np.bincount((spread & np.uint64(size - 1)).astype(np.int64), minlength=size)
+        if counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
+        size *= 2
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -187,9 +201,11 @@ def _shared_prefixes(docs: DataFrame, of_row: DataFrame, words: int, percent: in
              .select(F.xxhash64("region", "ring").alias("region"), "rep", "n"))
     rings = work.keep("rings", rings)
     work.drop("met")
-    several = rings.groupBy("region").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-    members = work.keep("members", rings.join(several.where("low != high").select("region"),
-                                              "region"))
+    several = (rings.groupBy("region").agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("rep")).alias("mark")).where("low != high")
+        .groupBy("low", "high", "size", "mark").agg(F.min("region").alias("region")))   # equal regions once
+    members = work.keep("members", rings.join(several.select("region"), "region"))
     work.drop("rings")
     return members
 
@@ -197,23 +213,17 @@ def _shared_prefixes(docs: DataFrame, of_row: DataFrame, words: int, percent: in
 # --- pivots, balls and windows ------------------------------------------------------------------
 
 def _sets(batches, words: int):
-    """``(rep, n, bins, items)``: counts in about n / 4 hashed bins, and the whole sorted set."""
+    """``(rep, items)``: the whole sorted set."""
     for batch in batches:
         ids = batch.column(0)
         for chunk in chunks(batch.column(1)):
             sets = shingle_sets(chunk, words)
-            bins = []
-            for one in sets:
-                size = 1 << max(4, (max(1, len(one)) // 4).bit_length())
-                where = (mix(one) & np.uint64(size - 1)).astype(np.int64)
-                bins.append(np.bincount(where, minlength=size).astype(np.uint32).tobytes())
-            flat = np.concatenate(sets).view(np.int64)
             edges = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(chunk.first, len(sets)), pa.array(np.diff(edges), pa.int32()),
-                 pa.array(bins, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))],
-                ["rep", "n", "bins", "items"])
+                [ids.slice(chunk.first, len(sets)),
+                 pa.ListArray.from_arrays(pa.array(edges),
+                                          pa.array(np.concatenate(sets).view(np.int64)))],
+                ["rep", "items"])
 
 
 def _may_be_near(batches):
@@ -222,7 +232,7 @@ def _may_be_near(batches):
         rows = [batch.column(k).to_pylist() for k in range(2, 7)]
         keep = []
         for i, (window, n, m, a, b) in enumerate(zip(*rows)):
-            a, b = (np.frombuffer(x, np.uint32) for x in (a, b))
+            a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (a, b))
             while len(a) > len(b):
                 a = a[:len(a) // 2] + a[len(a) // 2:]
             while len(b) > len(a):
@@ -231,7 +241,7 @@ def _may_be_near(batches):
             if 100 * common >= window * (n + m - common):
                 keep.append(i)
         if keep:
-            yield batch.select([0, 1, 2]).take(pa.array(keep))
+            yield batch.select([0, 1, 2, 3, 4]).take(pa.array(keep))
 
 
 def _near(window: Column) -> Column:
@@ -239,14 +249,13 @@ def _near(window: Column) -> Column:
     return 100 * F.col("common") >= window * (F.col("n") + F.col("m") - F.col("common"))
 
 
-def _join_regions(docs: DataFrame, members: DataFrame, words: int, percent: int,
+def _join_regions(docs: DataFrame, profile: DataFrame, members: DataFrame, words: int, percent: int,
                   work: Workspace) -> DataFrame:
     """``(node, label)`` of all representatives with a link."""
     spark, wide = docs.sparkSession, 2 * percent - 100
-    wanted = members.select("rep").distinct()
-    sets = work.keep("sets", docs.join(wanted, docs.id == wanted.rep, "left_semi")
-                     .mapInArrow(partial(_sets, words=words),
-                                 "rep long, n int, bins binary, items array<bigint>"))
+    wanted = members.select(F.col("rep").alias("id")).distinct()
+    bins = work.keep("bins", profile.where("n > 0").select("id", "n", "bins")
+                     .join(wanted, "id", "left_semi").dropDuplicates(["id"]))
     labels = spark.createDataFrame([], "node long, label long")
     regions = members.withColumn("stray", F.lit(False))
     links, strays, turn = [], CENTRES, 0
@@ -268,16 +277,24 @@ def _join_regions(docs: DataFrame, members: DataFrame, words: int, percent: int,
                          F.when(central, F.col("pivot")).otherwise(F.greatest("rep", "pivot"))
                          .alias("pivot"), window.alias("window"))
                  .groupBy("x", "pivot").agg(F.min("window").alias("window")))
-        bins = sets.select("rep", "n", "bins").dropDuplicates(["rep"])
-        seen = (pairs.join(bins.toDF("x", "n", "a"), "x").join(bins.toDF("pivot", "m", "b"), "pivot")
-                .select("x", "pivot", "window", "n", "m", "a", "b")
-                .mapInArrow(_may_be_near, "x long, pivot long, window int"))
-        whole = sets.select("rep", "n", "items").dropDuplicates(["rep"])
-        close = work.keep(f"close-{turn}", seen.join(whole.toDF("x", "n", "a"), "x")
-                          .join(whole.toDF("pivot", "m", "b"), "pivot")
+        seen = work.keep(f"seen-{turn}", pairs.join(bins.toDF("x", "n", "a"), "x")
+                         .join(bins.toDF("pivot", "m", "b"), "pivot")
+                         .select("x", "pivot", "window", "n", "m", "a", "b")
+                         .mapInArrow(_may_be_near,
+                                     "x long, pivot long, window int, n int, m int"))
+        needed = work.keep(f"needed-{turn}", seen.select("x").unionByName(
+            seen.select(F.col("pivot").alias("x"))).distinct())
+        if needed.count() <= BROADCAST_ROWS:
+            needed = F.broadcast(needed)
+        whole = work.keep(f"sets-{turn}", docs.join(needed, docs.id == needed.x, "left_semi")
+                          .mapInArrow(partial(_sets, words=words), "rep long, items array<bigint>")
+                          .dropDuplicates(["rep"]))
+        close = work.keep(f"close-{turn}", seen.join(whole.toDF("x", "a"), "x")
+                          .join(whole.toDF("pivot", "b"), "pivot")
                           .select("x", "pivot", "n", "m", "window",
                                   F.size(F.array_intersect("a", "b")).alias("common"))
                           .where(_near(F.col("window"))))
+        work.drop(f"seen-{turn}", f"needed-{turn}", f"sets-{turn}")
         linked = close.where(_near(F.lit(percent))).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
         links.append(linked)
         every = links[0]

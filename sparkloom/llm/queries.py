@@ -11,9 +11,11 @@ from sparkloom.llm.importance import importance_filter
 from sparkloom.llm.jaccard_join import jaccard_components
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
+from sparkloom.llm.personal_data import find_personal_data
 from sparkloom.llm.sharding import uniform_shards
 from sparkloom.llm.url_rules import judge_urls
 from sparkloom.llm.warc import read_warc, write_warc
+from sparkloom.llm.weak_labels import weak_label_quality
 from sparkloom.llm.workspace import Workspace
 from sparkloom.session import prepare
 from sparkloom.tables import read_table
@@ -99,6 +101,16 @@ def op5_importance(table):
     return importance_filter(table("documents"), trusted)
 
 
+@query()
+def op6_personal_data(table):
+    return find_personal_data(table("documents"))
+
+
+@query()
+def op7_weak_labels(table):
+    return weak_label_quality(table("documents"))
+
+
 @query("""
     WITH docs AS (
       SELECT doc_id, lang, source, CASE WHEN right(source, 1) BETWEEN '0' AND '4' THEN 'lower'

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 # Blank characters, as in [^\x20\x09-\x0D]+ for a word.
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
