@@ -12,7 +12,7 @@ from sparkloom.llm.decontaminate import contamination
 from sparkloom.llm.jaccard_join import jaccard_components
 from sparkloom.llm.language import UNKNOWN, fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
-from sparkloom.llm.queries import MIX_TREE, MIX_WEIGHTS, held_out
+from sparkloom.llm.queries import MIX_WEIGHTS, held_out, mix_tree
 from sparkloom.llm.sharding import uniform_shards
 from sparkloom.llm.workspace import Workspace
 from sparkloom.session import prepare
@@ -47,7 +47,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep four fifths of all tokens, by the weights of the tree, each document once at most."""
     prepare(spark)
-    return mix_sources(docs, MIX_TREE, MIX_WEIGHTS, token_count(), share=(4, 5)).select(docs.columns)
+    return mix_sources(docs, mix_tree(), MIX_WEIGHTS, token_count(), share=(4, 5)).select(docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkloom.llm.decontaminate import contamination
 from sparkloom.llm.importance import importance_filter
@@ -24,10 +24,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 # What the mixing query aims at: whole-number weights of the tree's values.
-DOMAIN = F.when(F.substring("source", -1, 1).between("0", "4"), "lower").when(
-    F.substring("source", -1, 1).between("5", "9"), "upper").otherwise("other")
 MIX_WEIGHTS = {"domain": {"lower": 1, "upper": 3}, "lang": {"en": 2, "de": 3, "fr": 3, "es": 2}}
-MIX_TREE = {"domain": DOMAIN, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mix_tree() -> dict[str, Column]:
+    """Domain (by the last digit of the source), language, source."""
+    last = F.substring("source", -1, 1)
+    domain = F.when(last.between("0", "4"), "lower").when(last.between("5", "9"), "upper")
+    return {"domain": domain.otherwise("other"), "lang": F.col("lang"), "source": F.col("source")}
 
 
 def query(sql: str | None = None):
@@ -176,8 +180,8 @@ def op7_weak_labels(table):
 """)
 def op8_mixing(table):
     docs = table("documents").select("doc_id", "lang", "source", token_count().alias("tokens"))
-    return mix_sources(docs, MIX_TREE, MIX_WEIGHTS, F.col("tokens"), share=(3, 5), max_epochs=2).select(
-        "doc_id", DOMAIN.alias("domain"), "lang", "source", "tokens", F.col("__copies").alias("copies"))
+    return mix_sources(docs, mix_tree(), MIX_WEIGHTS, F.col("tokens"), share=(3, 5), max_epochs=2).select(
+        "doc_id", mix_tree()["domain"].alias("domain"), "lang", "source", "tokens", F.col("__copies").alias("copies"))
 
 
 @query()
