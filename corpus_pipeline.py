@@ -14,8 +14,7 @@ from sparkloom.llm.language import UNKNOWN, fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
 from sparkloom.llm.queries import MIX_WEIGHTS, held_out, mix_tree
 from sparkloom.llm.sharding import uniform_shards
-from sparkloom.llm.workspace import Workspace
-from sparkloom.session import prepare
+from sparkloom.llm.workspace import Workspace, text_session
 from sparkloom.tables import read_table
 
 LEAST_SCORE = 0.3     # just above chance with four languages: below it, the model can't tell
@@ -23,7 +22,7 @@ LEAST_SCORE = 0.3     # just above chance with four languages: below it, the mod
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those whose language the model can't tell."""
-    prepare(spark)
+    text_session(spark)
     model = fit_language(docs, ~held_out("id"))
     return predict_language(docs, model).where(
         (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
@@ -31,14 +30,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of linked documents."""
-    prepare(spark)
+    text_session(spark)
     leaders = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop contaminated documents."""
-    found = contamination(docs, read_table(prepare(spark), sf_dir, "benchmark"))
+    found = contamination(docs, read_table(text_session(spark), sf_dir, "benchmark"))
     bad = found.where("contaminated").select("row_key").distinct()
     return (docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
             .join(bad, "row_key", "left_anti").select(docs.columns))
@@ -46,7 +45,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep four fifths of all tokens, by the weights of the tree, each document once at most."""
-    prepare(spark)
+    text_session(spark)
     return mix_sources(docs, mix_tree(), MIX_WEIGHTS, token_count(), share=(4, 5)).select(docs.columns)
 
 
@@ -62,7 +61,7 @@ ORACLE_SQL = None     # models, random draws and iterations: tests compare with
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(prepare(spark), sf_dir, "documents")
+    docs = read_table(text_session(spark), sf_dir, "documents")
     work = Workspace(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         docs = work.keep(f"{k}-{name}", stage(spark, docs, sf_dir))

@@ -16,8 +16,7 @@ from sparkloom.llm.sharding import uniform_shards
 from sparkloom.llm.url_rules import judge_urls
 from sparkloom.llm.warc import read_warc, write_warc
 from sparkloom.llm.weak_labels import weak_label_quality
-from sparkloom.llm.workspace import Workspace
-from sparkloom.session import prepare
+from sparkloom.llm.workspace import Workspace, text_session
 from sparkloom.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +37,7 @@ def query(sql: str | None = None):
     """Register under the function's name; the function takes a reader of tables."""
     def register(fn):
         QUERIES[fn.__name__] = lambda spark, root: fn(
-            lambda name: read_table(prepare(spark), root, name))
+            lambda name: read_table(text_session(spark), root, name))
         if sql:
             SQL[fn.__name__] = sql.strip()
         return fn

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.session import shared_dir
+from sparkloom.session import prepare, shared_dir
+
+# Rows of whole texts that a Python worker holds at once; texts may be very long.
+BATCH_ROWS = "500"
 
 
 class Workspace:
@@ -25,3 +28,9 @@ class Workspace:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The session with the settings of the library and small batches for Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return prepare(spark)
