@@ -87,14 +87,21 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: Mapping[str, str], take: S
                 broadcast_rows: int | None = None) -> DataFrame:
     """Add the columns ``take`` of a dimension that is unique on its key.
 
+    A key that the dimension has twice stops the query, as it would multiply facts; reduce such a
+    dimension with ``last_per_key`` first.
     ``missing``: a mapping of default values, ``"left"`` (null), ``"inner"`` (drop the row) or
     ``"fail"``. With ``broadcast_rows`` the size of the dimension is counted up to that bound and
     it is broadcast below it; without, the optimizer decides from its bytes.
     """
     names = {r: f"__dim_{r}" for r in on.values()}
-    small = dim.select(*[F.col(r).alias(n) for r, n in names.items()],
-                       *[F.col(c).alias(f"__take_{c}") for c in take],
-                       F.lit(True).alias("__found"))
+    once = F.when(F.count(F.lit(1)) == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("more than one dimension row for key "),
+                               F.concat_ws(",", *names.values()))).cast("boolean"))
+    small = (dim.select(*[F.col(r).alias(n) for r, n in names.items()],
+                        *[F.col(c).alias(f"__take_{c}") for c in take])
+             .groupBy(*names.values()).agg(*[F.first(f"__take_{c}").alias(f"__take_{c}") for c in take],
+                                           once.alias("__found"))
+             .where("__found"))
     if broadcast_rows is not None:
         small = broadcast_if_small(small, broadcast_rows)
     joined = facts.join(small, _same_keys({l: names[r] for l, r in on.items()}),

@@ -102,20 +102,23 @@ def session_totals(df: DataFrame, time: str, gap: str, keys: Sequence[str],
 
 
 def window_elements(df: DataFrame, time: str, length: str, key: str, order: Sequence[str], *,
-                    per_row: int = 10_000, rows: int = SLICE_ROWS) -> DataFrame:
+                    part_rows: int, rows: int = SLICE_ROWS) -> DataFrame:
     """Full-window report: key, bounds and the clock time of every element, in order.
 
-    One row per window, or several numbered parts when a window has more than ``per_row``
-    elements, so that no group is collected without a bound.
+    A report is laid out in numbered parts of ``part_rows`` elements, so that no group is collected
+    without a bound; ``n_elements`` is the size of the whole window, in each of its parts.
     """
     timed = df.select(key, *order, F.col(time).alias("__t"),
                       F.window(time, length).getField("start").alias("window_start"))
     ranked = row_ranks(timed, [key, "window_start"], order, "__rank", rows)
-    part = F.floor((F.col("__rank") - 1) / per_row).cast("int")
+    part = F.floor((F.col("__rank") - 1) / part_rows).cast("int")
+    whole = ranked.groupBy(key, "window_start").agg(F.count(F.lit(1)).alias("n_elements"))
     listed = F.sort_array(F.collect_list(F.struct("__rank", F.date_format("__t", CLOCK).alias("c"))))
     return flat_window(
         ranked.groupBy(key, "window_start", part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n_elements"), listed.alias("__list"))
+        .agg(listed.alias("__list")).join(
+            whole.withColumnRenamed(key, "__key").withColumnRenamed("window_start", "__start"),
+            F.col(key).eqNullSafe(F.col("__key")) & (F.col("window_start") == F.col("__start")))
         .select(key, "part", "n_elements", F.col("window_start").alias("__w"),
                 F.array_join(F.transform("__list", lambda x: x["c"]), ", ").alias("times"))
         .withColumn("report", F.format_string(

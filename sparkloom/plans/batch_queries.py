@@ -400,15 +400,27 @@ def window_sum_first(t: Tables):
                           first_in_window("event_id", "event_id")])
 
 
-@query("""SELECT user_id, 0 AS part, n_elements, s AS window_start,
-                 s + INTERVAL 1 DAY AS window_end,
-                 'key:' || user_id || ' window:[00:00:00~00:00:00) times:[' || times || ']'
-                 AS report
-          FROM (SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) AS s, count(*) AS n_elements,
-                       string_agg(strftime(ts, '%H:%M:%S'), ', ' ORDER BY ts, event_id) AS times
-                FROM events GROUP BY ALL)""")
+WINDOW_REPORT = """
+    SELECT user_id, part, any_value(n) AS n_elements, s AS window_start,
+           s + INTERVAL 1 DAY AS window_end,
+           'key:' || user_id || ' window:[00:00:00~00:00:00) times:['
+             || string_agg(strftime(ts, '%H:%M:%S'), ', ' ORDER BY ts, event_id) || ']' AS report
+    FROM (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS s, count(*) OVER w AS n,
+                 CAST((row_number() OVER (w ORDER BY ts, event_id) - 1) // {rows} AS INTEGER) AS part
+          FROM events WINDOW w AS (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts)))
+    GROUP BY user_id, part, s"""
+
+
+@query(WINDOW_REPORT.format(rows=10_000))
 def window_report(t: Tables):
-    return window_elements(t.events, "ts", "1 day", "user_id", ["ts", "event_id"])
+    return window_elements(t.events, "ts", "1 day", "user_id", ["ts", "event_id"],
+                           part_rows=10_000)
+
+
+@query(WINDOW_REPORT.format(rows=2))
+def window_report_parts(t: Tables):
+    # Windows that span several parts.
+    return window_elements(t.events, "ts", "1 day", "user_id", ["ts", "event_id"], part_rows=2)
 
 
 @query("""SELECT user_id, firing, count(*) AS n, max(event_id) AS last_id FROM (

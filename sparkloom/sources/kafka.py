@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Start positions; a group's stored offsets have no counterpart, because a query
-# keeps its position in its own checkpoint and uses the start position only on its first run.
-STARTS = {"earliest": "earliest", "latest": "latest", "group-offsets": "latest"}
+# Start positions by name.
+STARTS = ("earliest", "latest")
+
+
+def start_position(start: str | Mapping[str, Mapping[int, int]]) -> str:
+    """``earliest``, ``latest`` or ``{topic: {partition: offset}}`` as the source's option.
+
+    A query keeps its position in its own checkpoint and uses this on its first run only. Offsets that a
+    consumer group has stored are not visible to Spark: read them with the broker's tools and pass
+    them here, else records that the group has not read yet would be skipped.
+    """
+    if isinstance(start, Mapping):
+        return json.dumps({t: {str(p): o for p, o in own.items()} for t, own in start.items()})
+    if start not in STARTS:
+        raise ValueError(f"start {start!r}: give {' or '.join(STARTS)}, or offsets by partition")
+    return start
 
 
-def source_options(servers: str, topic: str, *, start: str = "latest", group: str | None = None,
+def source_options(servers: str, topic: str, *, start: str | Mapping = "latest", group: str | None = None,
                    max_per_batch: int | None = None, min_parts: int | None = None,
                    fail_on_loss: bool = True) -> dict[str, str]:
     """New partitions of the topic are found without a setting."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-               "startingOffsets": STARTS[start], "failOnDataLoss": str(fail_on_loss).lower()}
+               "startingOffsets": start_position(start), "failOnDataLoss": str(fail_on_loss).lower()}
     if group:
         options["groupIdPrefix"] = group
     if max_per_batch:

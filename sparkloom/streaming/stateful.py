@@ -157,13 +157,15 @@ class LateTagger(StatefulProcessor):
 
 
 def tag_late(df: DataFrame, time: str, length: str, lateness: str = "0 seconds", *,
-             name: str = "is_late", spread: int = 64) -> DataFrame:
+             name: str = "is_late", spread: int | None = None) -> DataFrame:
     """All rows of a watermarked stream, with a mark on those that come too late.
 
     A watermark operator drops late rows; this one hands them on, so that they can be kept aside.
-    The rows are dealt over ``spread`` groups by a hash of their content and time. Run it with a
+    The rows are dealt over ``spread`` groups (by default the shuffle partitions of the session) by a
+    hash of their content and time; keep the number for the life of a checkpoint. Run it with a
     processing-time trigger: under ``availableNow`` this kind of query never reports its end.
     """
+    spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     end = F.window(time, length).getField("end")
     ready = df.withColumn("__end_ms", F.unix_millis(end)).withColumn(
         "__spread", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))

@@ -82,7 +82,7 @@ def test_others_do_not_depend_on_slices(skewed, size):
             lambda s: count_windows(skewed, ["k"], ["id"], 10, [n], slide=4, rows=s),
             lambda s: count_windows(skewed, ["k"], ["id"], 3, [n], slide=5, rows=s),
             lambda s: count_windows(skewed, ["k"], ["id"], 10, [n], partial=True, rows=s),
-            lambda s: window_elements(skewed, "ts", "1 hour", "k", ["ts", "id"], per_row=20,
+            lambda s: window_elements(skewed, "ts", "1 hour", "k", ["ts", "id"], part_rows=20,
                                       rows=s)):
         assert rows(make(size)) == rows(make(SIZES[-1]))
 
@@ -99,9 +99,11 @@ def test_count_windows_by_hand(spark):
 
 
 def test_long_windows_are_listed_in_parts(skewed):
-    parts = window_elements(skewed, "ts", "1 hour", "k", ["ts", "id"], per_row=20)
-    assert parts.agg(F.max("n_elements")).first()[0] == 20
-    assert parts.agg(F.sum("n_elements")).first()[0] == 3000
+    parts = window_elements(skewed, "ts", "1 hour", "k", ["ts", "id"], part_rows=20)
+    windows = parts.groupBy("k", "window_start").agg(F.max("n_elements").alias("n"), F.min("n_elements").alias("m"),
+                                                     F.count("*").alias("parts"))
+    assert windows.where("n != m OR parts != ceil(n / 20)").isEmpty()
+    assert windows.agg(F.sum("n")).first()[0] == 3000 and windows.agg(F.max("parts")).first()[0] > 1
 
 
 @pytest.mark.parametrize("size", SIZES)

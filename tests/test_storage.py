@@ -7,6 +7,7 @@ import time
 import zipfile
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.operators.lookups import UNKNOWN, service_lookup
@@ -58,8 +59,8 @@ def test_text_output(spark, folder):
 
 
 def test_console(spark, capsys):
-    console.show(elements(spark, [1], "v INT"), "label")
-    console.show(elements(spark, [2], "v INT"), err=True)
+    console.show(elements(spark, [1], "v INT"), "label", n=5)
+    console.show(elements(spark, [2], "v INT"), n=5, err=True)
     shown = capsys.readouterr()
     assert shown.out == "label> Row(v=1)\n" and shown.err == "Row(v=2)\n"
 
@@ -220,3 +221,27 @@ def test_catalog(spark):
     assert spark.catalog.currentDatabase() == "side_db"
     catalog.use(spark, database=before)
     spark.sql("DROP DATABASE side_db")
+
+
+def test_kafka_start_needs_offsets_for_a_group():
+    from sparkloom.sources.kafka import source_options
+    with pytest.raises(ValueError):
+        source_options("b:1", "t", start="group-offsets", group="g")
+    options = source_options("b:1", "t", start={"t": {0: 7}}, group="g")
+    assert options["startingOffsets"] == '{"t": {"0": 7}}'
+
+
+def test_service_lookup_with_missing_and_whole_number_keys(spark):
+    from sparkloom.operators.lookups import service_lookup
+    df = spark.createDataFrame([(1,), (None,), (2,), (1,)], "k INT")
+    got = service_lookup(df, "k", "name", lambda: lambda k: f"{type(k).__name__}{k}" if k == 1 else None)
+    assert rows(got) == sorted([(1, "int1"), (None, None), (2, None), (1, "int1")], key=repr)
+
+
+def test_lookup_join_refuses_a_repeated_key(spark):
+    from sparkloom.operators.joins import lookup_join
+    facts = spark.createDataFrame([(1,), (None,), (3,)], "k INT")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, v STRING")
+    assert rows(lookup_join(facts, dim, {"k": "id"}, ["v"])) == sorted([(1, "a"), (None, None), (3, None)], key=repr)
+    with pytest.raises(Exception, match="more than one dimension row"):
+        lookup_join(facts, dim.union(dim), {"k": "id"}, ["v"]).collect()
