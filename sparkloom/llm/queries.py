@@ -179,6 +179,7 @@ def op7_weak_labels(table):
 """)
 def op8_mixing(table):
     docs = table("documents").select("doc_id", "lang", "source", token_count().alias("tokens"))
+    docs = Workspace(docs.sparkSession, "mixing").keep("tokens", docs)   # the texts are read once
     return mix_sources(docs, mix_tree(), MIX_WEIGHTS, F.col("tokens"), share=(3, 5), max_epochs=2).select(
         "doc_id", mix_tree()["domain"].alias("domain"), "lang", "source", "tokens", F.col("__copies").alias("copies"))
 
