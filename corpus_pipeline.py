@@ -29,10 +29,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of linked documents."""
+    """Keep the document with the smallest id of each group of linked documents.
+
+    Rows without an id are named by their text, behind all ids; of rows that share a name one stays.
+    """
     text_session(spark)
-    leaders = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    name = F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 2) + (1 << 62))
+    named = docs.withColumn("__name", name)
+    leaders = jaccard_components(named, id_col="__name").where("__name = component_id").select("__name").distinct()
+    return named.join(leaders, "__name", "left_semi").dropDuplicates(["__name"]).select(docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

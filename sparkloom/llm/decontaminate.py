@@ -21,6 +21,11 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAKS), "")
 
 
+def _fold(text: Column) -> Column:
+    """Lower case, the same for a word alone as in its text: only a capital sigma looks at what follows."""
+    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
+
+
 def _ahead(column: str, by: int) -> Column:
     return F.slice(F.col(column), F.lit(by + 1), F.greatest(F.size(column) - by, F.lit(0)))
 
@@ -75,7 +80,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                              split_words(lower(F.col(item_text_col))).alias("exact"))
     items = items.where(F.size("exact") > 0).withColumn("item", F.xxhash64("exact"))
     texts = items.groupBy("item", "exact").agg(F.count("*").alias("n")).select(
-        "item", "exact", F.transform("exact", lambda w: F.lower(w)).alias("words"))
+        "item", "exact", F.transform("exact", lambda w: _fold(w)).alias("words"))
     long_items = texts.where(F.size("words") >= WINDOW)
     short = texts.where(F.size("words") < WINDOW)
     sizes = [r["n"] for r in short.select(F.size("words").alias("n")).distinct().collect()]  # < 13
@@ -84,7 +89,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
     n_words_in = texts.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
-    words = docs.withColumn("words", split_words(F.lower("text")))
+    words = docs.withColumn("words", split_words(_fold(F.col("text"))))
     prints = _fingerprints(long_items.select("words")).distinct()
     met = (_fingerprints(words.select("row_key", "words"))
            .join(small(prints, n_words_in), "print").select("row_key"))
@@ -93,7 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         met = met.unionByName(_short_runs(words.select("row_key", "words"), sizes)
                               .join(small(ends, n_words_in), "print").select("row_key"))
     suspects = (docs.join(met.distinct(), "row_key", "left_semi").dropDuplicates(["row_key"])
-                .select("row_key", split_words(F.lower("text")).alias("words"),
+                .select("row_key", split_words(_fold(F.col("text"))).alias("words"),
                         split_words(lower(F.col("text"))).alias("exact")))
 
     # Hits on the diagonal ``at - item_at``; then the words decide.

@@ -362,13 +362,14 @@ def test_contamination_agrees_with_brute_force(spark, odd, none):
     rng = random.Random(5)
     word = lambda: rng.choice(["a", "b", "É", "é", "K", "x1", "Zz"])
     items = [(i, " ".join(word() for _ in range(rng.choice([1, 2, 5, 12, 13, 14, 40])))) for i in range(25)]
-    items += [(90, items[0][1]), (91, None), (92, "..."), (None, "q q q"), (93, items[6][1].swapcase())]
+    items += [(90, items[0][1]), (91, None), (92, "..."), (None, "q q q"), (93, items[6][1].swapcase()), (94, "\u0391\u03a3 \u03c9")]
     docs = []
     for i in range(60):
         own = [word() for _ in range(rng.randint(0, 60))]
         own += TOKEN.findall(items[rng.randrange(25)][1])[rng.randint(0, 3):] + [word() for _ in range(rng.randint(0, 400))]
         docs.append((i, rng.choice([" ", ", ", "\n"]).join(own)))
-    docs += [(100, None), (101, ""), (None, items[5][1]), docs[0], docs[0], (102, items[3][1] + "!" + items[3][1])]
+    docs += [(100, None), (101, ""), (None, items[5][1]), docs[0], docs[0], (102, items[3][1] + "!" + items[3][1]),
+             (103, "x \u0391\u03a3'\u03c9 y")]         # a capital sigma that is final in the item only
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     known = [x for x in items if x[0] is not None]
@@ -399,3 +400,13 @@ def test_pipeline_keeps_what_it_should(spark, small):
     assert set(seen["shards"]) == set(seen["mixture"])
     assert docs.groupBy("shard").count().count() == 8
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_duplicates_without_ids(spark, odd, none):
+    out = corpus_pipeline.near_duplicates(spark, odd, SMALL).collect()
+    assert Counter(r.doc_id for r in out) == Counter([0, 1, 2, 3, 5, 6, 7, 9, 10, None])
+    words = " ".join(f"n{i}" for i in range(300))
+    rows = [(None, words), (None, words + " more"), (None, "quite another text of some six words"), (7, words + " or less")]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == [(0, rows[2][1]), (7, rows[3][1])]
+    assert corpus_pipeline.near_duplicates(spark, none, SMALL).count() == 0
