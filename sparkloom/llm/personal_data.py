@@ -11,7 +11,9 @@ number written differently by its other occurrences. Confident labels outside ba
 from __future__ import annotations
 
 import re
+import string
 import zlib
+from bisect import bisect_left
 from functools import partial
 from hashlib import sha256
 from typing import NamedTuple
@@ -28,6 +30,10 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+# The same matches in linear time, however long a run of letters or digits is.
+_EMAIL_END = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_EMAIL_NAME = frozenset(string.ascii_letters + string.digits + "._%+-")
+_IP_FROM_EDGE = re.compile(r"(?<![0-9])" + PATTERNS["ip"].pattern)
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -52,15 +58,28 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    """Matches of the email pattern, found from their @: a long run of letters is walked once."""
+    found, free = [], 0
+    for m in _EMAIL_END.finditer(text):
+        begin = m.start()
+        while begin > free and text[begin - 1] in _EMAIL_NAME:
+            begin -= 1
+        if begin < m.start():
+            free = m.end()
+            found.append((begin, free))
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(kind, start, end)`` by kind and start; code points, end exclusive."""
     spans = []
     digit = _DIGIT.search(text) is not None
     if "@" in text:
-        spans += [(0, *m.span()) for m in PATTERNS["email"].finditer(text)]
+        spans += [(0, *span) for span in _emails(text)]
     if digit:
         if text.count(".") >= 3:
-            spans += [(1, *m.span()) for m in PATTERNS["ip"].finditer(text)
+            spans += [(1, *m.span()) for m in _IP_FROM_EDGE.finditer(text)
                       if all(len(p.lstrip("0")) <= 3 and int(p[-20:]) <= 255 for p in m[0].split("."))]
         for m in PATTERNS["card"].finditer(text):
             if 16 <= m.end() - m.start():
@@ -117,8 +136,16 @@ def _edges(nodes) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
 
 
 def _labels(nodes, spans) -> list[int]:
+    """Per node the label of the first span that it touches, else 0. Both go forwards in the text."""
     marks = sorted((a, b, kind + 1) for kind, a, b in spans)
-    return [next((k for a, b, k in marks if a < node[1] and node[0] < b), 0) for node in nodes]
+    reach = np.maximum.accumulate([b for _, b, _ in marks]).tolist() if marks else []
+    labels = []
+    for begin, end, *_ in nodes:
+        k = bisect_left(reach, begin + 1)      # no span before this one ends behind ``begin``
+        while k < len(marks) and marks[k][0] < end and marks[k][1] <= begin:
+            k += 1
+        labels.append(marks[k][2] if k < len(marks) and marks[k][0] < end else 0)
+    return labels
 
 
 def train_field(texts: list[str], steps: int = 300, rate: float = 0.5) -> Field:
@@ -181,10 +208,10 @@ def all_spans(text: str, field: Field) -> tuple[list, list]:
     base, nodes = base_spans(text), _nodes(text)
     if not nodes:
         return base, base
-    p, added, marks = marginals(nodes, field), [], sorted((a, b) for _, a, b in base)
-    for node, row in zip(nodes, p):
+    p, added = marginals(nodes, field), []
+    for node, row, known in zip(nodes, p, _labels(nodes, base)):
         label = int(np.argmax(row))
-        if label and row[label] >= SURE and not any(a < node[1] and node[0] < b for a, b in marks):
+        if label and row[label] >= SURE and not known:
             added.append((label - 1, node[0], node[1]))
     return base, sorted(base + added)
 

@@ -20,7 +20,7 @@ from sparkloom.llm.importance import importance_filter
 from sparkloom.llm.jaccard_join import jaccard_components
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
-from sparkloom.llm.personal_data import base_spans, find_personal_data, marginals, train_field, _nodes
+from sparkloom.llm.personal_data import PATTERNS, base_spans, find_personal_data, marginals, train_field, _nodes
 from sparkloom.llm.queries import QUERIES, SQL, held_out
 from sparkloom.llm.sharding import communication_matrix, hypergeometric, uniform_shards
 from sparkloom.llm.url_rules import DigestArray, judge_urls, write_digests
@@ -272,6 +272,22 @@ def test_base_spans():
     assert base_spans("é 1.2.3.4") == [(1, 2, 9)] and base_spans("") == []
 
 
+def test_base_spans_match_the_plain_patterns():
+    rng = random.Random(8)
+    for _ in range(5000):
+        text = "".join(rng.choice("a1@.@..-+ 2(9\u00e9\n") for _ in range(rng.randrange(50)))
+        spans = base_spans(text)
+        assert [(a, b) for k, a, b in spans if k == 0] == [m.span() for m in PATTERNS["email"].finditer(text)]
+        assert [(a, b) for k, a, b in spans if k == 1] == [
+            m.span() for m in PATTERNS["ip"].finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+
+
+def test_base_spans_of_long_runs_take_linear_time():
+    run = 300_000
+    assert base_spans("a" * run + " x@y.zz") == [(0, run + 1, run + 7)]
+    assert base_spans("1" * run + " 5.6.7.8")[0] == (1, run + 1, run + 8)
+
+
 def test_field_spreads_labels_over_repeated_tokens(spark, small, odd, none):
     texts = ["card 4111111111111111 and 4111111111111111 x 5500005555555559 y"] * 20 + ["in 1999 or 2024 we had 17 of 18"] * 20
     field = train_field(texts)
