@@ -15,6 +15,7 @@ BUCKETS = 1 << 14         # hashed n-grams
 ORDERS = (1, 2, 3)        # characters of an n-gram
 CHUNK_CHARS = 1 << 19
 UNKNOWN = "und"
+SLICES = 64               # tasks that first look for a language's sample
 SNIPPET = 48              # characters of the short piece that each training text adds
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
 
@@ -168,9 +169,12 @@ def fit_language(docs: DataFrame, learn: Column, per_language: int = 400, text_c
     total, idf = have.pop(-1, 0), np.full(BUCKETS, 0.0)
     for bucket, n in have.items():
         idf[bucket] = np.log((1 + total) / (1 + n)) + 0.1
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.select("id", "lang").withColumn("turn", F.row_number().over(lowest))
-              .where(F.col("turn") <= per_language).select("id", "lang"))
+    chosen = rows.select("id", "lang").withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
+    for keys in (["lang", "slice"], ["lang"]):    # a frequent language is spread over tasks first
+        lowest = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
+        chosen = (chosen.withColumn("turn", F.row_number().over(lowest))
+                  .where(F.col("turn") <= per_language).drop("turn"))
+    chosen = chosen.select("id", "lang")
     sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select("text", "lang").collect()
     examples = sorted((r["text"], r["lang"]) for r in sample)
     return train(examples, idf) if examples else Model([], np.zeros((BUCKETS, 0)), idf, 1.0)
