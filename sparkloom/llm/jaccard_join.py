@@ -19,6 +19,8 @@ inside regions that already have something in common:
    members outside a region's largest component, are pivots as well. Pivots leave, as all their
    pairs are decided, so the rounds end. Every pair of different components is thereby compared or
    excluded by a proven bound, while a family of thousands of near copies needs a few pivots only.
+5. *Pairs.* Who wants all links gets them from the components: a link never leaves its component, so
+   the pairs of members of each are compared, block by block, until none is left undecided.
 
 Distances first meet a cheap bound: adding up a set's shingles in hashed bins only shrinks distances,
 so bins that differ too much prove a pair to be far. Only the rest fetches whole sets.
@@ -42,6 +44,9 @@ BROADCAST_ROWS = 1 << 20   # ids (one long each) sent to all executors; more are
 RING = 2 ** 0.5       # upper size of a ring over its lower
 CENTRES = 4           # pivots of a region that get a ball
 MORE_STRAYS = 16      # growth per round of the pivots taken from the smaller components
+SQUARE = 256          # members in a block of a component, about
+SQUARE_ITEMS = 1 << 18     # shingles in such a block, about
+COLUMNS = 1 << 12     # shingles that a block counts at a time
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -55,6 +60,41 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     Rows that repeat an id count as one document each for their own text. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "jaccard")
+    _, of_row, labels = _components(docs, words, percent, id_col, text_col, work)
+    return _named(of_row, labels, id_col)
+
+
+def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                 text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``jaccard_components`` with ``n_links``, and all links ``(a, b)``, ``a < b``.
+
+    Links are those between different sets, each set named by its smallest id. ``n_links`` counts the
+    other rows that a row is linked with, those of an equal set included. It is 0 for an empty set and
+    null where ``component_id`` is null for want of an id.
+    """
+    work = Workspace(docs.sparkSession, "jaccard")
+    docs, of_row, labels = _components(docs, words, percent, id_col, text_col, work)
+    links = work.keep("links", _all_links(docs, of_row, labels, words, percent, work))
+    sizes = of_row.where("n > 0 AND rep IS NOT NULL").groupBy("rep").agg(F.count("*").alias("size"))
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    met = (ends.join(sizes.withColumnRenamed("rep", "b"), "b")
+           .groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("met")))
+    counts = sizes.join(met, "rep", "left").select(
+        "rep", (F.col("size") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
+    rows = _named(of_row.join(counts, "rep", "left"), labels, id_col,
+                  F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
+    return rows, links
+
+
+def _named(of_row: DataFrame, labels: DataFrame, id_col: str, *more: Column) -> DataFrame:
+    return (of_row.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+                    F.coalesce("label", "rep").alias("component_id"), *more))
+
+
+def _components(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str,
+                work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(id, text)``, ``(id, n, rep)`` of all rows, and ``(node, label)`` of the linked sets."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     profile = work.keep("profile", docs.mapInArrow(
@@ -68,10 +108,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     rank = _rank_of_buckets(profile)
 
     members = _shared_prefixes(docs, of_row, words, percent, rank, work)
-    labels = _join_regions(docs, profile, members, words, percent, work)
-    return (of_row.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("label", "rep").alias("component_id")))
+    return docs, of_row, _join_regions(docs, profile, members, words, percent, work)
 
 
 # --- sets and the order of shingles -------------------------------------------------------------
@@ -324,3 +361,79 @@ def _join_regions(docs: DataFrame, profile: DataFrame, members: DataFrame, words
         work.drop(f"named-{turn}", f"pivots-{turn}", f"regions-{turn - 1}")
         strays, turn = min(strays * MORE_STRAYS, 1 << 30), turn + 1
     return labels
+
+
+# --- all links ----------------------------------------------------------------------------------
+
+def _squares(batches, percent: int):
+    """``(a, b)`` of the linked pairs; the rows of a square come one after the other."""
+    at, nodes, blocks, sets = None, [], [], []
+    for batch in batches:
+        names, items = batch.column("node").to_pylist(), batch.column("items")
+        keys = zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j")))
+        for k, (key, block) in enumerate(zip(keys, batch.column("block").to_pylist())):
+            if key != at and at is not None:
+                yield _linked(nodes, [block == at[1] for block in blocks], sets, at[1] == at[2], percent)
+                nodes, blocks, sets = [], [], []
+            at = key
+            nodes.append(names[k])
+            blocks.append(block)
+            sets.append(items[k].values.to_numpy().copy())
+    if at is not None:
+        yield _linked(nodes, [block == at[1] for block in blocks], sets, at[1] == at[2], percent)
+
+
+def _linked(nodes: list, is_left: list, sets: list, same: bool, percent: int) -> pa.RecordBatch:
+    """The linked pairs between the left and the right sets, or among all of them."""
+    nodes, left = np.array(nodes, np.int64), np.array(is_left)
+    rows = np.flatnonzero(left)
+    columns = rows if same else np.flatnonzero(~left)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, item, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    keep = shared[item]
+    owner, item = owner[keep], (np.cumsum(shared) - 1)[item[keep]]
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    common = np.zeros((len(rows), len(columns)), np.int64)
+    for begin in range(0, int(shared.sum()), COLUMNS):
+        part = slice(*np.searchsorted(item, (begin, begin + COLUMNS)))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[part], item[part] - begin] = 1
+        common += (has[rows] @ has[columns].T).astype(np.int64)
+    linked = 100 * common >= percent * (sizes[rows][:, None] + sizes[columns] - common)
+    x, y = np.nonzero(np.triu(linked, 1) if same else linked)
+    x, y = nodes[rows[x]], nodes[columns[y]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def _all_links(docs: DataFrame, of_row: DataFrame, labels: DataFrame, words: int, percent: int,
+               work: Workspace) -> DataFrame:
+    """``(a, b)`` of all linked representatives.
+
+    A component is cut into blocks by a hash, and every two blocks are a square of pairs. A component of
+    two has the one link that made it.
+    """
+    sized = labels.join(of_row.where("n > 0 AND id = rep").select(F.col("rep").alias("node"), "n")
+                        .dropDuplicates(["node"]), "node")
+    cuts = sized.groupBy("label").agg(F.count("*").alias("size"), F.ceil(F.greatest(
+        F.count("*") / SQUARE, F.sum("n") / SQUARE_ITEMS)).cast("int").alias("cuts"))
+    placed = work.keep("placed", sized.join(cuts, "label").select(
+        "node", "label", "size", "cuts", F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("block")))
+    several = placed.where("size > 2")
+    nodes = several.select(F.col("node").alias("x"))
+    if nodes.count() <= BROADCAST_ROWS:
+        nodes = F.broadcast(nodes)
+    whole = (docs.join(nodes, docs.id == nodes.x, "left_semi")
+             .mapInArrow(partial(_sets, words=words), "rep long, items array<bigint>")
+             .dropDuplicates(["rep"]))
+    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
+    squares = (several.select("node", "label", "block", other)
+               .select("node", "label", "block", F.least("block", "other").alias("i"),
+                       F.greatest("block", "other").alias("j"))
+               .join(whole.withColumnRenamed("rep", "node"), "node")
+               .repartition("label", "i", "j").sortWithinPartitions("label", "i", "j"))
+    pairs = placed.where("size = 2 AND node != label").select(F.col("label").alias("a"),
+                                                              F.col("node").alias("b"))
+    return squares.mapInArrow(partial(_squares, percent=percent), "a long, b long").unionByName(pairs)

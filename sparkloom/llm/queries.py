@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkloom.llm.decontaminate import contamination
 from sparkloom.llm.importance import importance_filter
-from sparkloom.llm.jaccard_join import jaccard_components
+from sparkloom.llm.jaccard_join import jaccard_join
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
 from sparkloom.llm.personal_data import find_personal_data
@@ -51,7 +51,7 @@ def held_out(id_col: str = "doc_id"):
 
 @query()
 def op1_jaccard_join(table):
-    return jaccard_components(table("documents"), words=4, percent=85)
+    return jaccard_join(table("documents"), words=4, percent=85)[0]
 
 
 # Verdict, host, path.

@@ -17,7 +17,7 @@ import corpus_pipeline
 from sparkloom.llm.components import components
 from sparkloom.llm.decontaminate import contamination
 from sparkloom.llm.importance import importance_filter
-from sparkloom.llm.jaccard_join import jaccard_components
+from sparkloom.llm.jaccard_join import jaccard_components, jaccard_join
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
 from sparkloom.llm.personal_data import PATTERNS, base_spans, find_personal_data, marginals, train_field, _nodes
@@ -138,6 +138,29 @@ def test_jaccard_odd_rows(spark, odd, none):
     assert jaccard_components(none).count() == 0
 
 
+def _brute_links(rows, size, percent):
+    sets = [_shingles(t, size) for _, t in rows]
+    return {(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if sets[i] and sets[j]
+            and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+
+
+def test_jaccard_join_finds_every_link_of_a_large_family(spark, monkeypatch):
+    monkeypatch.setattr("sparkloom.llm.jaccard_join.SQUARE", 16)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [[*base[:k], f"x{rng.randrange(40)}", *base[k + 1:]] for k in (rng.randrange(120) for _ in range(90))]
+    rows = [" ".join(w) for w in rows] + [t for _, t in _families(3)]
+    rows = list(enumerate(rows + rows[:7] + rows[100:110] + [None, ""]))
+    want = _brute_links(rows, 4, 85)
+    found, links = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    degree = Counter(i for pair in want for i in pair)
+    assert {r.doc_id: r.n_links for r in found.collect()} == {i: degree[i] for i, _ in rows}
+    first = {}
+    rep = [first.setdefault(frozenset(_shingles(t, 4)), i) for i, t in rows]
+    assert sorted(map(tuple, links.collect())) == sorted(
+        {(min(rep[i], rep[j]), max(rep[i], rep[j])) for i, j in want if rep[i] != rep[j]})
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(5, 5), (None, 1)]
     work = Workspace(spark, "test")
