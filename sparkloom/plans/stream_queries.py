@@ -1,7 +1,8 @@
 """Streaming twins: the test tables read as streams, results checked like batch queries.
 
 Append-mode windows are emitted once the watermark has passed them, so their SQL keeps the windows
-that end at or before (highest time - bound).
+that end at or before (highest time - bound). The queries named ``..._whole`` give all windows of the
+replay, the newest included: update mode into a keyed table.
 """
 
 from __future__ import annotations
@@ -46,6 +47,15 @@ def run_to(df, deliver, root: str, mode: str = "append"):
     to_batches(df, deliver, f"{root}/checkpoint", mode).awaitTermination()
 
 
+def run_keyed(t: Tables, df, label: str, keys: str, columns: str):
+    """Run in update mode; the last value of every key, whether the watermark has passed it or not."""
+    root = shared_dir(t.spark, label)
+    values = [c for c in df.columns if c not in [k.split()[0] for k in keys.split(", ")]]
+    table = KeyedTable(t.spark, f"{root}/table", keys, columns, {c: REPLACE for c in values})
+    run_to(df, upsert_batches(table), root, "update")
+    return table.read()
+
+
 # ---- aggregates and windows --------------------------------------------------------------------
 
 @query("""SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total,
@@ -122,6 +132,61 @@ def stream_session(t: Tables):
     return plain_times(finish(t.spark, out, "session"), "session_start", "session_end")
 
 
+WINDOW_KEYS = "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP"
+
+
+@query("""SELECT event_type, s AS window_start, s + INTERVAL 1 HOUR AS window_end, n, max_value,
+                 min_value FROM (
+            SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS n,
+                   max(value) AS max_value, min(value) AS min_value FROM events GROUP BY ALL)""")
+def stream_tumbling_whole(t: Tables):
+    out = window_totals(timed(t), "ts", "1 hour", ["event_type"],
+                        [n_rows(), F.max("value").alias("max_value"),
+                         F.min("value").alias("min_value")])
+    out = run_keyed(t, out, "tumbling-whole", WINDOW_KEYS,
+                    "n BIGINT, max_value DOUBLE, min_value DOUBLE")
+    return plain_times(out, "window_start", "window_end")
+
+
+@query("""SELECT event_type, s AS window_start, s + INTERVAL 1 HOUR AS window_end, n
+          FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS n
+                FROM events GROUP BY ALL)""")
+def stream_tumbling_sql_whole(t: Tables):
+    timed(t).createOrReplaceTempView("event_stream_whole")
+    out = t.spark.sql("""
+        SELECT event_type, window.start AS window_start, window.end AS window_end, count(*) AS n
+        FROM event_stream_whole GROUP BY event_type, window(ts, '1 hour')""")
+    out = run_keyed(t, out, "sql-whole", WINDOW_KEYS, "n BIGINT")
+    return plain_times(out, "window_start", "window_end")
+
+
+@query("""SELECT event_type, s AS window_start, s + INTERVAL 6 HOUR AS window_end, count(*) AS n
+          FROM (SELECT event_type, time_bucket(INTERVAL 3 HOUR, ts) - INTERVAL (3 * k) HOUR AS s
+                FROM events, (VALUES (0), (1)) AS o(k)) GROUP BY ALL""")
+def stream_sliding_whole(t: Tables):
+    out = window_totals(timed(t), "ts", "6 hours", ["event_type"], [n_rows()], slide="3 hours")
+    out = run_keyed(t, out, "sliding-whole", WINDOW_KEYS, "n BIGINT")
+    return plain_times(out, "window_start", "window_end")
+
+
+@query("""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
+                 count(*) AS n
+          FROM (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) s
+                FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY user_id
+                             ORDER BY event_id) + INTERVAL 6 HOUR, TRUE) AS fresh FROM events))
+          GROUP BY user_id, s""")
+def stream_session_whole(t: Tables):
+    """Session windows have no update mode: every micro-batch gives all sessions, the last one counts."""
+    root = shared_dir(t.spark, "session-whole")
+    out = session_totals(timed(t), "ts", "6 hours", ["user_id"], {"n": ("count", None)})
+    run_to(out, lambda batch, batch_id: batch.write.mode("overwrite").parquet(
+        f"{root}/out/batch_id={batch_id}"), root, "complete")
+    stored = t.spark.read.parquet(f"{root}/out")
+    last = stored.agg(F.max("batch_id").alias("batch_id"))
+    return plain_times(stored.join(F.broadcast(last), "batch_id").drop("batch_id"),
+                       "session_start", "session_end")
+
+
 @query("""SELECT event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE)
           / 100 AS total FROM events GROUP BY event_type""")
 def stream_arrival_windows(t: Tables):
@@ -275,6 +340,15 @@ def stream_channel_heat(t: Tables):
     return table.read()
 
 
+@query("""SELECT event_type AS "channelID", count(*) AS visited FROM events GROUP BY ALL""")
+def stream_channel_heat_whole(t: Tables):
+    """Visits of all 10 s windows, open ones included, kept per window and added up per channel."""
+    clicks = clicklog.messages(click_lines(t.stream("events"))).withWatermark("ts", "5 seconds")
+    heat = run_keyed(t, clicklog.channel_heat(clicks), "heat-whole",
+                     "channelID STRING, window_start TIMESTAMP, window_end TIMESTAMP", "visited BIGINT")
+    return heat.groupBy("channelID").agg(F.sum("visited").alias("visited"))
+
+
 @query(f"""SELECT event_type || ':' || period AS rowkey, count(*) AS pv,
                   CAST(sum(uv) AS BIGINT) AS uv
            FROM (SELECT event_type, strftime(ts, '%Y%m%d%H') AS period, is_hour_new AS uv

@@ -315,3 +315,23 @@ def test_complete_mode_can_sort(spark, folder):
     best = stream.groupBy("u").agg(F.sum("v").alias("v")).orderBy(F.desc("v")).limit(1)
     got = changed(spark, best, folder, "complete").orderBy(F.desc("batch_id")).first()
     assert (got.u, got.v) == ("a", 15)
+
+
+def test_whole_replay_has_the_windows_that_are_still_open(spark):
+    from sparkloom.plans.catalogue import QUERIES
+    from sparkloom.tables import read_table
+    events = read_table(spark, SMALL, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    n = F.count(F.lit(1)).alias("n")
+    hours = window_totals(events, "ts", "1 hour", ["event_type"],
+                          [n, F.max("value").alias("max_value"), F.min("value").alias("min_value")])
+    want = {
+        "stream_tumbling": hours, "stream_tumbling_sql": hours.drop("max_value", "min_value"),
+        "stream_sliding": window_totals(events, "ts", "6 hours", ["event_type"], [n], slide="3 hours"),
+        "stream_session": session_totals(events, "ts", "6 hours", ["user_id"], {"n": ("count", None)}),
+        "stream_channel_heat": events.groupBy(F.col("event_type").alias("channelID")).agg(
+            F.count(F.lit(1)).alias("visited"))}
+    for name, whole in want.items():
+        out = QUERIES[f"{name}_whole"](spark, SMALL)
+        columns = sorted(out.columns)
+        plain = whole.select([F.col(c).cast(dict(out.dtypes)[c]).alias(c) for c in columns])
+        assert sorted(map(repr, out.select(columns).collect())) == sorted(map(repr, plain.collect())), name
