@@ -61,7 +61,8 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[
     ``''``. ``weights[level][value]`` are whole numbers, ``other_weight`` for values not listed, 0 for
     none. The budget is ``share[0] / share[1]`` of all tokens. A node's room is its tokens times
     ``max_epochs``: what a child can't use goes to its siblings, and only what no sibling can use was
-    left with the nodes above, whose room is the sum of their children's. Every leaf passes whole
+    left with the nodes above, whose room is the sum of their children's. Leaves with a weight of 0 on
+    their path are room for nobody. Every leaf passes whole
     epochs and then the longest prefix, in the seeded order of the next epoch, that fits its budget.
 
     The order is a seeded hash of the id, and prefixes are found from sums of 4096 buckets for each
@@ -75,9 +76,12 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[
     leaves = docs.groupBy(*names).agg(F.sum("__tokens").alias("tokens"))
     budgets = leaves.agg(F.sum("tokens").alias("all")).select(
         F.expr(f"all * {int(share[0])} div {int(share[1])}").alias("budget"))
+    usable = leaves      # a leaf under a weight of 0 is no room for the nodes above either
+    for name, level in zip(names, levels):
+        usable = usable.where(_weight(name, weights.get(level, {}), other_weight) > 0)
     above: list[str] = []
     for name, level in zip(names, levels):
-        room = leaves.groupBy(*above, name).agg((F.sum("tokens") * max_epochs).alias("room"))
+        room = usable.groupBy(*above, name).agg((F.sum("tokens") * max_epochs).alias("room"))
         room = room.withColumn("weight", _weight(name, weights.get(level, {}), other_weight))
         joined = room.join(budgets, above) if above else room.join(F.broadcast(budgets))
         budgets = _divide(joined, name, above)

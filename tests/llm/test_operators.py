@@ -356,6 +356,15 @@ def test_shortage_goes_to_siblings_first(spark):
     assert {r.source for r in twice} == {"small", "big"} and sum(r["__tokens"] * r["__copies"] for r in twice) == 1020
 
 
+def test_mixing_passes_on_what_a_zero_weight_below_the_root_leaves(spark):
+    sizes = {("a", "none"): 900, ("a", "some"): 100, ("b", "some"): 1000}
+    rows = [(i, "w", d, lang) for i, (d, lang) in enumerate(k for k, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string")
+    tree = {"domain": F.col("domain"), "lang": F.col("lang")}
+    out = mix_sources(df, tree, {"lang": {"none": 0}}, token_count(), (1, 2)).groupBy("domain", "lang").count()
+    assert {(r[0], r[1]): r[2] for r in out.collect()} == {("a", "some"): 100, ("b", "some"): 900}
+
+
 def test_mixing_odd_rows(spark, odd, none):
     tree = {"lang": F.col("lang"), "source": F.col("source")}
     out = mix_sources(odd, tree, {}, token_count(), (1, 1)).collect()
