@@ -12,10 +12,12 @@ from sparkloom.llm.jaccard_join import jaccard_join
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.mixing import mix_sources, token_count
 from sparkloom.llm.personal_data import find_personal_data
+from sparkloom.llm.prefix_trie import own_turns, prefix_trie, rebuilt
 from sparkloom.llm.sharding import uniform_shards
 from sparkloom.llm.url_rules import judge_urls
 from sparkloom.llm.warc import read_warc, write_warc
 from sparkloom.llm.weak_labels import weak_label_quality
+from sparkloom.llm.whitening import whiten
 from sparkloom.llm.workspace import Workspace, text_session
 from sparkloom.tables import read_table
 
@@ -219,3 +221,54 @@ def op9_language(table):
 """)
 def op10_decontaminate(table):
     return contamination(table("documents"), table("benchmark")).drop("row_key")
+
+
+@query("""
+    WITH own AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+      FROM conversations WHERE conv_id IS NOT NULL),
+    heads AS (
+      SELECT conv_id, conv_id - conv_id % 20 AS head, xor(4294967295, list_reduce(
+          list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+          lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+            lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM own)),
+    rebuilt AS (
+      SELECT heads.conv_id, own.role, own.text, place, 0 AS part
+      FROM heads JOIN own ON own.conv_id = head WHERE place <= h
+      UNION ALL
+      SELECT conv_id, role, text, place, 1 FROM heads JOIN own USING (conv_id) WHERE place > h),
+    turns AS (
+      SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS d FROM rebuilt),
+    seqs AS (
+      SELECT heads.conv_id, coalesce(list({'r': role, 't': text} ORDER BY d) FILTER (d IS NOT NULL), []) AS seq
+      FROM heads LEFT JOIN turns USING (conv_id) GROUP BY heads.conv_id),
+    paths AS (
+      SELECT conv_id, len(seq) AS turns, unnest(range(0, len(seq) + 1)) AS depth, seq FROM seqs),
+    nodes AS (
+      SELECT depth, seq[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = depth), '')) AS ends_sha256
+      FROM paths GROUP BY depth, seq[1:depth]),
+    kin AS (
+      SELECT n.*, p.conv_id AS parent_conv_id, (n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE
+          len(regexp_extract_all(path[n.depth].t, '[^\\x20\\x09-\\x0D]+')) END AS saved
+      FROM nodes n LEFT JOIN (SELECT depth + 1 AS depth, path AS up, conv_id FROM nodes) p
+        ON p.depth = n.depth AND p.up = n.path[1:n.depth - 1]),
+    family AS (
+      SELECT a.depth, a.conv_id, b.depth AS below, b.conv_id AS member, b.saved,
+        NOT EXISTS (SELECT 1 FROM nodes c WHERE c.depth = b.depth + 1 AND c.path[1:b.depth] = b.path) AS leaf
+      FROM kin a JOIN kin b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path)
+    SELECT k.conv_id, k.depth, parent_conv_id, n_convs,
+      count(*) FILTER (below = f.depth + 1)::BIGINT AS n_children, count(*) FILTER (leaf)::BIGINT AS n_leaves,
+      sum(f.saved)::BIGINT AS saved_tokens, ends_sha256
+    FROM kin k JOIN family f ON f.depth = k.depth AND f.conv_id = k.conv_id
+    GROUP BY k.conv_id, k.depth, parent_conv_id, n_convs, ends_sha256
+""")
+def op12_prefix_trie(table):
+    return prefix_trie(rebuilt(own_turns(table("conversations"))))
+
+
+@query()
+def op13_whitening(table):
+    return whiten(table("embeddings"))
