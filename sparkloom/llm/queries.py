@@ -14,6 +14,7 @@ from sparkloom.llm.mixing import mix_sources, token_count
 from sparkloom.llm.personal_data import find_personal_data
 from sparkloom.llm.prefix_trie import own_turns, prefix_trie, rebuilt
 from sparkloom.llm.sharding import uniform_shards
+from sparkloom.llm.tensor_dedup import near_duplicates
 from sparkloom.llm.url_rules import judge_urls
 from sparkloom.llm.warc import read_warc, write_warc
 from sparkloom.llm.weak_labels import weak_label_quality
@@ -51,7 +52,34 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-@query()
+def groups_sql(words: int, percent: int, columns: str) -> str:
+    """All pairs with a common shingle, counted, and the groups that links make."""
+    return f"""
+    WITH RECURSIVE texts AS (
+      SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    shingles AS (
+      SELECT doc_id, unnest(list_distinct(list_transform(
+        range(1, greatest(len(w) - {words} + 1, least(len(w), 1)) + 1),
+        lambda i: array_to_string(w[i:i + {words} - 1], ' ')))) AS shingle FROM texts),
+    sizes AS (
+      SELECT doc_id, count(shingle)::BIGINT AS n FROM texts LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+    links AS (
+      SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id != y.doc_id GROUP BY ALL)
+      JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+      WHERE 100 * common >= {percent} * (s.n + t.n - common)),
+    degrees AS (SELECT a AS doc_id, count(*)::BIGINT AS n_links FROM links GROUP BY a),
+    reached(doc_id, other) AS (
+      SELECT doc_id, doc_id FROM sizes UNION SELECT doc_id, b FROM reached JOIN links ON a = other),
+    named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, n AS n_shingles, component_id, {columns}
+    FROM sizes JOIN named USING (doc_id) LEFT JOIN degrees USING (doc_id)
+    """
+
+
+@query(groups_sql(4, 85, "coalesce(n_links, 0) AS n_links"))
 def op1_jaccard_join(table):
     return jaccard_join(table("documents"), words=4, percent=85)[0]
 
@@ -223,6 +251,11 @@ def op10_decontaminate(table):
     return contamination(table("documents"), table("benchmark")).drop("row_key")
 
 
+@query(groups_sql(2, 80, "doc_id = component_id AS kept"))
+def op11_tensored_minhash(table):
+    return near_duplicates(table("documents"), words=2, percent=80)
+
+
 @query("""
     WITH own AS (
       SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
