@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 class Accumulator:
@@ -57,21 +57,6 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     the sort below the merge runs and spills in the JVM, and the merge holds one key at a time.
     ``flush_keys`` bounds the accumulators a map task holds. Keys travel as text and are cast back.
     """
-    names = [f"__k{i}" for i in range(len(keys))]
-    as_text = [F.col(k).cast("string").alias(n) for k, n in zip(keys, names)]
-    key_schema = ", ".join(f"{n} STRING" for n in names)
-
-    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
-        for frame in frames:
-            for key, columns in _chunks(frame, names, values):
-                held[key] = acc.add(held[key] if key in held else acc.create(), columns)
-            if len(held) > flush_keys:
-                yield _partials(held, names)
-                held = {}
-        if held:
-            yield _partials(held, names)
-
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, total = None, None
         for frame in frames:
@@ -88,7 +73,9 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
             yield pd.DataFrame([current + tuple(acc.result(total))], columns=out_names,
                                dtype=object)
 
-    partial = df.select(*as_text, *values).mapInPandas(combine, f"{key_schema}, __acc BINARY")
+    partial = folded(df, {k: F.col(k) for k in keys}, values, acc, flush_keys)
+    names = partial.columns[:-1]
+    key_schema = ", ".join(f"{n} STRING" for n in names)
     empty = df.sparkSession.createDataFrame([], f"{key_schema}, {schema}")
     out_names = empty.columns
     merged = (partial.repartition(*names).sortWithinPartitions(*names)
@@ -97,6 +84,30 @@ def aggregate_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                            for k, n in zip(keys, names)], *out_names[len(names):])
 
 
+def folded(df: DataFrame, keys: Mapping[str, Column], values: Sequence[str], acc: Accumulator,
+           flush_keys: int = 100_000) -> DataFrame:
+    """``(__k0, __k1, ..., __acc)``: one pickled accumulator per task and key, keys as text.
+
+    Rows are folded where they are; of a stream, within a micro-batch.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    as_text = [k.cast("string").alias(n) for k, n in zip(keys.values(), names)]
+
+    def combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for frame in frames:
+            for key, columns in _chunks(frame, names, values):
+                held[key] = acc.add(held[key] if key in held else acc.create(), columns)
+            if len(held) > flush_keys:
+                yield _partials(held, names)
+                held = {}
+        if held:
+            yield _partials(held, names)
+
+    schema = ", ".join(f"{n} STRING" for n in names)
+    return df.select(*as_text, *values).mapInPandas(combine, f"{schema}, __acc BINARY")
+
+
 def _chunks(frame: pd.DataFrame, names: list[str], values: Sequence[str]) -> Iterator[tuple]:
     """Each key of a batch with its rows as array slices."""
     if not len(frame):
