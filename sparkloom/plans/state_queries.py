@@ -8,9 +8,20 @@ from sparkloom.functions.numbers import cents
 from sparkloom.operators.reduce import Accumulator, Reduce
 from sparkloom.operators.table_functions import register_table_functions
 from sparkloom.plans.registry import Tables, query
-from sparkloom.streaming.accumulate import accumulate_windows
+from sparkloom.session import shared_dir
+from sparkloom.sinks.batches import write_once
+from sparkloom.sinks.keyed import REPLACE, KeyedTable, upsert_batches
+from sparkloom.sinks.transactions import CommittedFiles, read_committed
+from sparkloom.sources.splits import read_splits, write_splits
+from sparkloom.streaming import stateful
+from sparkloom.streaming.accumulate import accumulate_windows, clock_sessions
 from sparkloom.streaming.chained import daily_top
 from sparkloom.streaming.closing import closed
+from sparkloom.streaming.count_windows import stream_count_windows
+from sparkloom.streaming.counters import StreamCounters, counted, counters_frame, where_count
+from sparkloom.streaming.retractions import retracting_summary
+from sparkloom.streaming.runtime import finish, live, rounds, to_batches, to_files, until_idle
+from sparkloom.streaming.saved_state import saved_state
 from sparkloom.streaming.versions import as_of_versions, version_feed
 from sparkloom.tables import instant, wall_clock
 
@@ -127,3 +138,111 @@ def stream_daily_top(t: Tables):
     out = closed(t.spark, rows, "ts", lambda marked: daily_top(marked, "ts", "event_type", "c"),
                  "1 hour", "daily-top")
     return out.withColumns({c: wall_clock(c) for c in ("window_start", "window_end")})
+
+
+# ---- sessions on the clock, count windows, changelogs --------------------------------------------
+
+@query("""SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total
+          FROM events GROUP BY user_id""")
+def stream_clock_sessions(t: Tables):
+    """Sessions that the clock ends; where they are cut depends on it, what they add up to does not."""
+    root = shared_dir(t.spark, "clock")
+    rows = t.stream("events").select("user_id", cents("value").alias("c"))
+    sessions = clock_sessions(rows, "2 seconds", ["user_id"], ["c"], Spread(),
+                              "n BIGINT, lowest BIGINT, highest BIGINT, total BIGINT")
+    until_idle(live(sessions, write_once(f"{root}/out"), f"{root}/checkpoint", mode="append"))
+    stored = t.spark.read.schema(sessions.schema).parquet(f"{root}/out")
+    return stored.groupBy("user_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+@query("""WITH r AS (SELECT user_id, event_id,
+                   row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+               f AS (SELECT *, (rn + 3) // 4 + k AS firing FROM r, (VALUES (0), (1), (2)) o(k))
+          SELECT user_id, firing, count(*) AS n, max(event_id) AS last_id FROM f
+          WHERE rn > firing * 4 - 10 GROUP BY user_id, firing HAVING max(rn) = firing * 4""")
+def stream_count_window_sliding(t: Tables):
+    """The last ten events of a user after every four."""
+    rows = t.stream("events").select("user_id", "event_id")
+    out = stream_count_windows(rows, ["user_id"], "event_id", 10, {
+        "n": ("count", None), "last_id": ("max", "event_id")}, slide=4)
+    return finish(t.spark, out, "ring")
+
+
+@query("""WITH u AS (SELECT user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total
+                   FROM events GROUP BY user_id)
+          SELECT total // 20000 AS bracket, count(*) AS n, CAST(sum(total) AS BIGINT) AS total,
+                 min(total) AS lowest, max(total) AS highest FROM u GROUP BY ALL""")
+def stream_brackets(t: Tables):
+    """Users counted by the bracket of their running total, from the changelog of the totals."""
+    root = shared_dir(t.spark, "brackets")
+    rows = t.stream("events").select("user_id", "event_id", cents("value").alias("c"))
+    changes = stateful.changelog(rows, ["user_id"], "event_id", "c").withColumn(
+        "bracket", F.expr("total div 20000"))
+    summary = retracting_summary(changes, ["bracket"], "total", "is_add")
+    table = KeyedTable(t.spark, f"{root}/table", "bracket BIGINT",
+                       "n BIGINT, total BIGINT, lowest BIGINT, highest BIGINT",
+                       {c: REPLACE for c in ("n", "total", "lowest", "highest")})
+    to_batches(summary, upsert_batches(table), f"{root}/checkpoint").awaitTermination()
+    return table.read().where("n > 0")
+
+
+# ---- sinks, sources, counters and saved state ----------------------------------------------------
+
+@query("""SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'""")
+def stream_committed(t: Tables):
+    """Rows published by the commit of their micro-batch."""
+    root = shared_dir(t.spark, "committed")
+    t.spark.dataSource.register(CommittedFiles)
+    rows = t.stream("events").where("event_type <> 'error'").select("event_id", "user_id", "event_type", "value")
+    (rows.writeStream.format("committed_files").option("path", f"{root}/out").outputMode("append")
+     .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return read_committed(t.spark, f"{root}/out", rows.schema)
+
+
+@query("""SELECT event_id, user_id, ts, value FROM events""")
+def stream_split_log(t: Tables):
+    """A log of five splits, read by two tasks in the first run and by three in the later ones."""
+    root = shared_dir(t.spark, "log")
+    events = t.events.select("event_id", "user_id", "ts", "value")
+    write_splits(events, f"{root}/log", 5, F.col("user_id"), "event_id")
+    third = events.count() // 3 + 1
+
+    def run(k: int):
+        rows = read_splits(t.spark, f"{root}/log", events.schema, f"{root}/cursor.json", 2 if k == 0 else 3, third)
+        return to_files(rows, f"{root}/out", f"{root}/checkpoint")
+
+    rounds(run)
+    return t.spark.read.schema(events.schema).parquet(f"{root}/out")
+
+
+@query("""SELECT 'cents' AS counter, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS n FROM events
+          UNION ALL SELECT 'errors', count(*) FROM events WHERE event_type = 'error'
+          UNION ALL SELECT 'rows', count(*) FROM events""")
+def stream_counters(t: Tables):
+    """Counters of a whole job, told by its progress."""
+    root = shared_dir(t.spark, "counters")
+    counters = StreamCounters("job", f"{root}/counters.json")
+    t.spark.streams.addListener(counters)
+    try:
+        rows = counted(t.stream("events"), "job", rows=F.count(F.lit(1)), cents=F.sum(cents("value")),
+                       errors=where_count(F.col("event_type") == "error"))
+        query = to_files(rows.select("event_id"), f"{root}/out", f"{root}/checkpoint")
+        query.awaitTermination()
+        return counters_frame(t.spark, counters.totals(query.runId))
+    finally:
+        t.spark.streams.removeListener(counters)
+
+
+@query("""SELECT event_id, user_id, value, max(value) OVER
+            (PARTITION BY user_id ORDER BY event_id) AS running_max FROM events""")
+def stream_carried_max(t: Tables):
+    """Running maxima of the first half of the events, their state read and carried into a second query."""
+    root = shared_dir(t.spark, "carried")
+    half = t.events.agg(F.expr("percentile_approx(event_id, 0.5)")).head()[0] or 0
+    rows = t.stream("events").select("event_id", "user_id", "value")
+    first = stateful.running_max(rows.where(F.col("event_id") <= half), ["user_id"], "event_id", "value")
+    to_files(first, f"{root}/first", f"{root}/checkpoint").awaitTermination()
+    saved = saved_state(t.spark, f"{root}/checkpoint", "value")
+    second = stateful.running_max(rows.where(F.col("event_id") > half), ["user_id"], "event_id", "value", start=saved)
+    to_files(second, f"{root}/second", f"{root}/checkpoint-2").awaitTermination()
+    return t.spark.read.schema(first.schema).parquet(f"{root}/first", f"{root}/second")

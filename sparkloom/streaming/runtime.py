@@ -34,6 +34,37 @@ def live(df: DataFrame, deliver: Callable[[DataFrame, int], None], checkpoint: s
             .option("checkpointLocation", checkpoint).trigger(processingTime=every).start())
 
 
+def rounds(start: Callable[[int], StreamingQuery], most: int = 10_000) -> int:
+    """Run a bounded query again and again, from one checkpoint, until a run finds no rows.
+
+    For sources that hand out so many rows at a time. ``start`` takes the number of the run. Returns the runs.
+    """
+    for run in range(most):
+        query = start(run)
+        query.awaitTermination()
+        if not sum(p["numInputRows"] for p in query.recentProgress):
+            return run + 1
+    raise RuntimeError(f"still rows after {most} runs")
+
+
+def until_idle(query: StreamingQuery, timeout: float = 600.0) -> None:
+    """Stop a query on the clock once it has read its input and let go of all state."""
+    limit = time.monotonic() + timeout
+    try:
+        while query.isActive:
+            last = query.lastProgress
+            if last and last["batchId"] > 0 and not last["numInputRows"] and all(
+                    s["numRowsTotal"] == 0 for s in last["stateOperators"]):
+                return
+            if time.monotonic() > limit:
+                raise TimeoutError("the query still holds state")
+            time.sleep(0.2)
+        if query.exception():
+            raise query.exception()
+    finally:
+        query.stop()
+
+
 def finish(spark: SparkSession, df: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a stream over its present input and return what it emitted, as a table on shared
     storage: append results through the file sink, others one folder per micro-batch."""

@@ -32,6 +32,11 @@ class _Stored(StatefulProcessor):
     def load(self):
         return self.value.get()[0] if self.value.exists() else None
 
+    def handleInitialState(self, key, initialState, timerValues):
+        """Start from a value that another query has saved."""
+        if initialState["value"] is not None:
+            self.value.update((initialState["value"],))
+
     def close(self) -> None:
         pass
 
@@ -53,12 +58,16 @@ class RunningMax(_Stored):
 
 
 def running_max(df: DataFrame, keys: Sequence[str], seq: str, column: str,
-                name: str = "running_max") -> DataFrame:
-    """Every row with the highest value of its key so far."""
+                name: str = "running_max", start: DataFrame | None = None) -> DataFrame:
+    """Every row with the highest value of its key so far.
+
+    ``start`` (keys and ``value``, one row per key) is what a new query begins with.
+    """
     schema = StructType(list(df.schema.fields)).add(name, df.schema[column].dataType)
     processor = RunningMax(column, seq, schema.names, df.schema[column].dataType.simpleString())
     return df.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
+        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None",
+        initialState=start.groupBy(*keys) if start is not None else None)
 
 
 _VISIT_SIZE = 1 + len(GRAIN_PATTERNS)      # time and one text per grain
