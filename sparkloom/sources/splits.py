@@ -63,8 +63,9 @@ def advance(known: dict[str, int], present: dict[str, int], most: int) -> dict[s
         behind = [s for s in sorted(present) if ends[s] < present[s]]
         if not behind:
             break
+        share = max(1, left // len(behind))
         for split in behind[:left]:
-            step = min(present[split] - ends[split], max(1, left // len(behind)))
+            step = min(present[split] - ends[split], share)
             ends[split] += step
             left -= step
     return ends
