@@ -3,18 +3,18 @@
 Plain banding with ``L`` tables and ``2 k`` minhashes a key computes ``2 k L`` minhashes. Here two small
 collections of ``m`` half keys of ``k`` minhashes each are computed, ``2 k m`` in all, and every pair of a half
 key of the first and one of the second is the key of a table: ``L = m * m`` tables. Texts of similarity ``s``
-meet in one of them with probability ``(1 - (1 - s^k)^m)^2``: 0.9998 at 0.8 with the 18 half keys of 4 used here,
-0.0002 at 0.2.
+meet in one of them with probability ``(1 - (1 - s^k)^m)^2``: 0.99999 at 0.8 with the 24 half keys of 4 used here,
+0.001 at 0.2.
 
 1. *Sets.* Texts become sets of shingle hashes; equal sets are one node from here on.
 2. *Half keys.* Nodes without company in any half key of the first collection can't meet in a table. Only the
    others are paired with the second collection, so the ``m * m`` keys of most texts are never written.
 3. *Tables.* Nodes with an equal key are a bucket; equal buckets count once.
-4. *Verification.* In each bucket one node is compared with the others, then, round by round, more nodes of the
-   smaller components. A pair already connected needs no comparison, and a node compared with all
-   others leaves its bucket, so a family of thousands of copies costs a few comparisons a member, and no
-   pair that shares a bucket stays undecided. The minhashes rule out pairs far below the threshold; what is left
-   is compared by whole sets.
+4. *Verification.* In each bucket one node is compared with the others, then a few members of its largest
+   component with those outside, so a family of thousands of copies costs a few comparisons a member. A pair
+   already connected needs no comparison. What then still shares a bucket with another component is
+   compared in full: pair by pair where there is little of it, else block by block. The minhashes rule out pairs far
+   below the threshold; the others are compared by whole sets.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparkloom.llm.components import components
+from sparkloom.llm.blocks import linked_between
+from sparkloom.llm.grouping import largest, merged_labels, mixed, relabelled, undecided
 from sparkloom.llm.words import chunks, mix, shingle_sets
 from sparkloom.llm.workspace import Workspace
 
@@ -33,8 +34,7 @@ HALF_KEYS = 18        # half keys in each collection: as many tables as its squa
 MINHASHES = 4         # minhashes in a half key
 DEVIATIONS = 5        # a pair is ruled out that many standard deviations of its minhashes below the threshold
 BROADCAST_ROWS = 1 << 20   # nodes (a few longs each) sent to all executors; more are joined by shuffle
-MORE = 4              # growth per round of the nodes that a bucket compares
-MOST = 1 << 20
+PIVOTS = (1, 2)   # members of a bucket's largest component that the others are compared with, by round
 
 _rng = np.random.default_rng(20250611)
 _FACTORS = _rng.integers(1, 1 << 63, 2 * HALF_KEYS * MINHASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,51 +148,41 @@ def _verified(docs: DataFrame, classes: DataFrame, members: DataFrame, words: in
               work: Workspace) -> DataFrame:
     """``(node, label)`` of all nodes that share a bucket; linked nodes have equal labels."""
     labels = work.keep("labels-0", members.select("node").distinct().withColumn("label", F.col("node")))
-    nodes = classes.select("node", "n", "marks").join(labels.select("node"), "node", "left_semi")
-    nodes = work.keep("nodes", nodes)
+    nodes = work.keep("nodes", classes.select("node", "n", "marks").join(labels.select("node"), "node", "left_semi"))
     sets = work.keep("sets", _whole_sets(docs, classes.select("n", "sum", "xor", "id", "node").join(
         labels.select("node"), "node", "left_semi"), words, work))
-    open_ = members.withColumn("label", F.col("node"))
-    more, turn = 1, 0
-    while not open_.isEmpty():
-        chosen = work.keep(f"chosen-{turn}", _chosen(open_, more, turn))
-        pairs = (open_.join(chosen.withColumnsRenamed({"node": "pivot", "label": "of"}), "bucket")
-                 .where("label != of")
+    rows = members.withColumn("label", F.col("node"))
+    for turn, pivots in enumerate(PIVOTS):
+        if rows.isEmpty():
+            return labels
+        chosen = work.keep(f"chosen-{turn}", _pivots(rows, pivots, turn))
+        pairs = (rows.join(chosen, "bucket").where("label != of")
                  .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct())
         links = work.keep(f"links-{turn}", _links(pairs, nodes, sets, percent))
-        tied = (links.join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b")
-                .select(F.col("x").alias("a"), F.col("y").alias("b")))
-        merged = components(tied, work, f"merged-{turn}").toDF("label", "new")
-        labels = work.keep(f"labels-{turn + 1}", _relabelled(labels, merged))
-        rest = _relabelled(open_.join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti"), merged)
-        rest = work.keep(f"rest-{turn}", rest)
-        mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-        open_ = work.keep(f"open-{turn}", rest.join(mixed.select("bucket"), "bucket"))
-        work.drop(f"chosen-{turn}", f"links-{turn}", f"rest-{turn}", f"labels-{turn}", f"open-{turn - 1}")
-        more, turn = min(more * MORE, MOST), turn + 1
-    return labels
-
-
-def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
-    return (rows.join(merged, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new"))
-
-
-def _chosen(rows: DataFrame, more: int, turn: int) -> DataFrame:
-    """``(bucket, node, label)`` of the nodes to compare: up to ``more`` outside each bucket's largest component.
-
-    In a bucket of components of one size any of them is the largest. Nodes that are alike in many buckets
-    are the same choice in all of them, so that their pairs are compared once.
+        labels, merged = merged_labels(labels, links, work, f"{turn + 1}")
+        rows = work.keep(f"rows-{turn}", mixed(relabelled(rows, merged)))
+        work.drop(f"chosen-{turn}", f"rows-{turn - 1}")
+    if rows.isEmpty():
+        return labels
+    few, many = undecided(rows, labels, nodes.select("node", "n"), work)
+    links = work.keep("links-few", _links(few, nodes, sets, percent))
+    links = links.unionByName(work.keep("links-many", linked_between(many, sets, percent)))
+    return merged_labels(labels, links, work, "last")[0]
+
+
+def _pivots(rows: DataFrame, most: int, turn: int) -> DataFrame:
+    """``(bucket, pivot, of)``: up to ``most`` members of each bucket's largest component.
+
+    They are chosen by a hash of the node, so that buckets of one family choose the same and their pairs are
+    compared once.
     """
-    if turn == 0:
-        first = rows.groupBy("bucket").agg(F.min("node").alias("node"))
-        return first.withColumn("label", F.col("node"))
-    main = (rows.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-            .groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("main"))
-            .select("bucket", F.col("main.label").alias("main")))
-    slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(more))
-    return (rows.join(main, "bucket").where("label != main")
-            .groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "label")).alias("p"))
-            .select("bucket", "p.node", "p.label"))
+    if turn == 0:                  # all components are single nodes
+        return rows.groupBy("bucket").agg(F.min("node").alias("pivot")).withColumn("of", F.col("pivot"))
+    spread = F.xxhash64("node", F.lit(turn))
+    return (rows.join(largest(rows), "bucket").where("label = main")
+            .groupBy("bucket", F.pmod(spread, F.lit(most)).alias("slot"))
+            .agg(F.min(F.struct(spread.alias("spread"), "node", "label")).alias("p"))
+            .select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("of")))
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, work: Workspace) -> DataFrame:
