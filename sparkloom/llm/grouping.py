@@ -17,14 +17,17 @@ def merged_labels(labels: DataFrame, links: DataFrame, work: Workspace, name: st
 
     Links are between nodes; only their labels meet, so earlier links are not read again.
     """
-    tied = (links.select("a", "b").join(labels.toDF("a", "x"), "a").join(labels.toDF("b", "y"), "b")
+    ends = [labels.select(F.col("node").alias(end), F.col("label").alias(of)) for end, of in (("a", "x"), ("b", "y"))]
+    tied = (links.select("a", "b").join(ends[0], "a").join(ends[1], "b")
             .select(F.col("x").alias("a"), F.col("y").alias("b")))
     merged = components(tied, work, f"merged-{name}").toDF("label", "new")
     return work.keep(f"labels-{name}", relabelled(labels, merged)), merged
 
 
 def relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
-    return rows.join(merged, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+    """The rows, columns in their order, with the new labels."""
+    return (rows.join(merged, "label", "left").withColumn("label", F.coalesce("new", "label"))
+            .select(rows.columns))
 
 
 def mixed(rows: DataFrame) -> DataFrame:
