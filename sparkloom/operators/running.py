@@ -1,7 +1,8 @@
 """Running (prefix) aggregates per key that stay parallel when one key holds much of the data.
 
 A plain window over ``partitionBy(key).orderBy(time)`` sorts a whole key in one task. Here a key
-with more rows than ``rows`` is cut into slices along its own order. Each slice is one window
+with more rows than ``rows`` is cut into slices along its own order, at quantiles of the whole order,
+so that neither an outlier nor a burst of equal times leaves a large slice. Each slice is one window
 group, and starts with one extra *carry row* that holds the aggregate of all earlier slices, so
 slices run side by side and the result equals the plain window. Keys below the limit keep one
 slice and get no carry row.
@@ -13,7 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkloom.functions.time import micros_of
+from sparkloom.session import stored
 
 SLICE_ROWS = 2_000_000
 SLICE = "__slice"
@@ -27,58 +28,48 @@ _OVER_ROWS = {
 Measures = Mapping[str, tuple[str, "str | Column | None"]]
 
 
-def position_of(df: DataFrame, name: str) -> Column:
-    """A number that grows with the order column."""
-    kind = df.schema[name].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return micros_of(name).cast("double")
-    return F.col(name).cast("double")
-
-
-def with_slices(df: DataFrame, keys: Sequence[str], position: Column,
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 rows: int = SLICE_ROWS) -> DataFrame:
-    """Add the slice number: ``WHOLE`` for ordinary keys, 0, 1, 2, ... along a cut key.
+    """Add the slice number: ``WHOLE`` for ordinary keys, else growing along the order of a cut key.
 
+    One pass counts the keys; the input must give the same rows each time it is read. The rows of cut keys
+    are dealt by ranges of key and order, whose bounds are sampled, and stored with their range, so that
+    all later passes see the same slices. Only rows that are equal in keys and order can't be parted.
     The list of cut keys holds at most (all rows / ``rows``) entries, which bounds the broadcast:
     10^13 input rows give at most 5 million short entries, usually a handful.
     """
-    count, low, high = F.count(F.lit(1)), F.min(position), F.max(position)
-    if not keys:
-        # One group only: its size and range are scalar subqueries.
-        cut = df.agg(F.struct(count.alias("n"), low.alias("lo"), high.alias("hi")).alias("s"))
-        return _slice_by(df, cut.scalar(), position, rows)
-    cut = (df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys])
-           .agg(F.struct(count.alias("n"), low.alias("lo"), high.alias("hi")).alias("__size"))
-           .where(F.col("__size.n") > rows))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = df.join(F.broadcast(cut), same, "left")
-    return _slice_by(joined, F.col("__size"), position, rows).select(*df.columns, SLICE)
-
-
-def _slice_by(df: DataFrame, size: Column, position: Column, rows: int) -> DataFrame:
-    # Twice as many slices as the count asks for, since rows are rarely spread evenly.
-    slices = F.ceil(size["n"] * 2.0 / rows)
-    number = F.floor((position - size["lo"]) / (size["hi"] - size["lo"] + 1.0) * slices)
-    # Missing positions sort first, so they belong to the first slice.
-    cut = F.coalesce(number.cast("long"), F.lit(0).cast("long"))
-    return df.withColumn(SLICE, F.when(size["n"].isNull(), WHOLE).otherwise(cut))
+    n = F.count(F.lit(1)).alias("__n")
+    names = [f"__k_{k}" for k in keys]
+    cut = (df.groupBy(*[F.col(k).alias(c) for k, c in zip(keys, names)]).agg(n)
+           .where(F.col("__n") > rows))
+    found = cut.agg(F.sum("__n")).head()[0]
+    whole = F.lit(WHOLE).cast("long").alias(SLICE)
+    if not found:
+        return df.select(*df.columns, whole)
+    busy = df
+    if keys:
+        same = F.lit(True)
+        for k, c in zip(keys, names):
+            same = same & F.col(k).eqNullSafe(F.col(c))
+        cut = F.broadcast(cut.select(*names))
+        busy = df.join(cut, same, "left_semi")
+    # Twice as many slices as the count asks for, since sampled bounds are not exact.
+    ranged = busy.repartitionByRange(-(-2 * found // rows), *keys, *order)
+    sliced = stored(ranged.select(*df.columns, F.spark_partition_id().cast("long").alias(SLICE)), "slices")
+    return sliced if not keys else df.join(cut, same, "left_anti").select(
+        *df.columns, whole).unionByName(sliced)
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Measures, *,
-            inclusive: bool = True, rows: int = SLICE_ROWS,
-            position: Column | None = None) -> DataFrame:
+            inclusive: bool = True, rows: int = SLICE_ROWS) -> DataFrame:
     """Append running aggregates in the given order, per key (no key: over the whole input).
 
     ``measures`` maps an output name to (kind, column); kinds are sum, count, max, min and last
     (latest value that is not missing). ``inclusive=False`` leaves out the current row.
-    ``order`` must be unique within a key for a repeatable result, and its first column decides
-    the slices unless ``position`` is given.
+    ``order`` must be unique within a key for a repeatable result.
     """
     keys, order = list(keys), list(order)
-    position = position if position is not None else position_of(df, order[0])
-    work = with_slices(df, keys, position, rows)
+    work = with_slices(df, keys, order, rows)
     inputs = {}
     for i, (kind, col) in enumerate(measures.values()):
         value = F.lit(1) if col is None else (F.col(col) if isinstance(col, str) else col)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkloom.functions.text import pair_text
 from sparkloom.functions.time import CLOCK, duration_micros
-from sparkloom.operators.running import SLICE, SLICE_ROWS, WHOLE, position_of, row_ranks, with_slices
+from sparkloom.operators.running import SLICE, SLICE_ROWS, WHOLE, row_ranks, with_slices
 
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _FIRST_PASS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -78,7 +78,7 @@ def session_totals(df: DataFrame, time: str, gap: str, keys: Sequence[str],
         return out.select(*keys, F.col("__s.start").alias("session_start"),
                           F.col("__s.end").alias("session_end"), *names)
 
-    sliced = with_slices(df, list(keys), position_of(df, time), rows)
+    sliced = with_slices(df, list(keys), [time], rows)
     local = (sliced.groupBy(*keys, SLICE, F.session_window(time, gap).alias("__s"))
              .agg(*first_pass)
              .select(*keys, SLICE, F.col("__s.start").alias("session_start"),

@@ -32,6 +32,7 @@ from sparkloom.plans.registry import Tables, query
 from sparkloom.plans.reviews import auto_reviews, review_status
 from sparkloom.plans.word_count import word_count as count_words
 from sparkloom.session import stored
+from sparkloom.tables import wall_clock
 
 
 def n_rows():
@@ -610,17 +611,45 @@ def click_lines(events):
         F.col("event_id"), ms, channel=F.col("event_type"), user=F.col("user_id")).alias("value"))
 
 
-@query(f"""SELECT event_type AS "channelID", CAST(user_id AS VARCHAR) AS "userID",
-                  epoch_us(ts) // 1000 AS "timestamp", strftime(ts, '%Y%m') AS "yearMonth",
-                  strftime(ts, '%Y%m%d') AS "yearMonthDay",
-                  strftime(ts, '%Y%m%d%H') AS "yearMonthDayHour", CAST(1 AS BIGINT) AS "count",
-                  is_new, is_hour_new, is_day_new, is_month_new FROM ({NEWNESS_SQL})""")
+def detailed_click_lines(events):
+    """Click messages whose every field follows from the event."""
+    n, ms = F.col("event_id"), F.unix_millis(F.col("ts").cast("timestamp"))
+
+    def one_of(values):
+        return F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+
+    fields = {"categoryID": n % 20 + 1, "produceID": n % 17 + 1, "country": F.lit(clicklog.COUNTRIES[0]),
+              "province": one_of(clicklog.PROVINCES), "city": one_of(clicklog.CITIES),
+              "network": one_of(clicklog.NETWORKS), "source": one_of(clicklog.SOURCES),
+              "browserType": one_of(clicklog.BROWSERS),
+              "entryTime": clicklog.LEAVE_TIME - n % 10 * 3_600_000}
+    return events.select(clicklog.click_message(
+        n, ms, channel=F.col("event_type"), user=F.col("user_id"), fields=fields).alias("value"))
+
+
+def one_of_sql(values) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"[{listed}][event_id % {len(values)} + 1]"
+
+
+@query(f"""SELECT event_type AS "channelID", CAST(event_id % 20 + 1 AS VARCHAR) AS "categoryID",
+                  CAST(event_id % 17 + 1 AS VARCHAR) AS "produceID", '{clicklog.COUNTRIES[0]}' AS country,
+                  {one_of_sql(clicklog.PROVINCES)} AS province, {one_of_sql(clicklog.CITIES)} AS city,
+                  {one_of_sql(clicklog.NETWORKS)} AS network, {one_of_sql(clicklog.SOURCES)} AS source,
+                  {one_of_sql(clicklog.BROWSERS)} AS "browserType",
+                  CAST({clicklog.LEAVE_TIME} - event_id % 10 * 3600000 AS VARCHAR) AS "entryTime",
+                  '{clicklog.LEAVE_TIME}' AS "leaveTime", CAST(user_id AS VARCHAR) AS "userID",
+                  CAST(1 AS BIGINT) AS "count", epoch_us(ts) // 1000 AS "timestamp",
+                  make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts,
+                  is_new, is_hour_new, is_day_new, is_month_new,
+                  '{clicklog.COUNTRIES[0]}' || {one_of_sql(clicklog.PROVINCES)}
+                    || {one_of_sql(clicklog.CITIES)} AS address,
+                  strftime(ts, '%Y%m') AS "yearMonth", strftime(ts, '%Y%m%d') AS "yearMonthDay",
+                  strftime(ts, '%Y%m%d%H') AS "yearMonthDayHour" FROM ({NEWNESS_SQL})""")
 def click_wide(t: Tables):
     # The flags take several passes over the clicks, so the JSON is parsed into a table first.
-    wide = clicklog.wide_rows(stored(clicklog.messages(click_lines(t.events)), "clicks"))
-    return wide.select("channelID", "userID", "timestamp", "yearMonth", "yearMonthDay",
-                       "yearMonthDayHour", "count", "is_new", "is_hour_new", "is_day_new",
-                       "is_month_new")
+    clicks = stored(clicklog.messages(detailed_click_lines(t.events)), "clicks")
+    return clicklog.wide_rows(clicks).withColumn("ts", wall_clock("ts"))
 
 
 @query("""SELECT event_type AS "channelID", time_bucket(INTERVAL 1 HOUR, ts) AS window_start,

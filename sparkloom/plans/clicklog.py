@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkloom.functions.json import parse_nested
@@ -29,8 +31,8 @@ STAY_HOURS = 10
 
 
 def click_message(seed: Column, time_ms: Column, *, channel: Column | None = None,
-                  user: Column | None = None) -> Column:
-    """A generated message as JSON text, repeatable from ``seed``."""
+                  user: Column | None = None, fields: Mapping[str, Column] | None = None) -> Column:
+    """A generated message as JSON text, repeatable from ``seed``; ``fields`` are given instead."""
     def number(salt: str, n: int) -> Column:
         return F.pmod(F.xxhash64(F.lit(salt), seed), F.lit(n))
 
@@ -50,6 +52,8 @@ def click_message(seed: Column, time_ms: Column, *, channel: Column | None = Non
         one_of("source", SOURCES).alias("source"),
         one_of("browser", BROWSERS).alias("browserType"),
         (F.lit(LEAVE_TIME) - stay).alias("entryTime"), F.lit(LEAVE_TIME).alias("leaveTime"))
+    for name, value in (fields or {}).items():
+        click = click.withField(name, value)
     return F.to_json(F.struct(F.lit(1).alias("count"), time_ms.alias("timeStamp"),
                               F.to_json(click).alias("message")))
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from sparkloom.functions.numbers import cents
 from sparkloom.operators.reduce import Accumulator, Reduce
 from sparkloom.operators.table_functions import register_table_functions
+from sparkloom.operators.windows import window_totals
+from sparkloom.plans.batch_queries import n_rows
 from sparkloom.plans.registry import Tables, query
 from sparkloom.session import shared_dir
 from sparkloom.sinks.batches import write_once
@@ -16,13 +18,14 @@ from sparkloom.sources.splits import read_splits, write_splits
 from sparkloom.streaming import stateful
 from sparkloom.streaming.accumulate import accumulate_windows, clock_sessions
 from sparkloom.streaming.chained import daily_top
-from sparkloom.streaming.closing import closed
+from sparkloom.streaming.closing import closed, in_turns
 from sparkloom.streaming.count_windows import stream_count_windows
 from sparkloom.streaming.counters import StreamCounters, counted, counters_frame, where_count
 from sparkloom.streaming.retractions import retracting_summary
 from sparkloom.streaming.runtime import finish, live, rounds, to_batches, to_files, until_idle
 from sparkloom.streaming.saved_state import saved_state
 from sparkloom.streaming.versions import as_of_versions, version_feed
+from sparkloom.streaming.watermark import event_time, with_lateness
 from sparkloom.tables import instant, wall_clock
 
 
@@ -140,6 +143,68 @@ def stream_daily_top(t: Tables):
     return out.withColumns({c: wall_clock(c) for c in ("window_start", "window_end")})
 
 
+# ---- late rows and early results -----------------------------------------------------------------
+
+DELAYED_SQL = """
+  last AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events WHERE event_id % 7 <> 0),
+  seen AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+             event_id % 7 = 0 AND time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR + INTERVAL 30 MINUTE
+               <= (SELECT mark FROM last) AS is_late FROM events)"""
+
+
+def delayed(t: Tables):
+    """The events, of which every seventh comes only after all others."""
+    late = F.col("event_id") % 7 == 0
+    columns = ["event_id", "event_type", instant("ts").alias("ts")]
+    return t.stream("events").where(~late).select(*columns), t.events.where(late).select(*columns)
+
+
+@query(f"""WITH {DELAYED_SQL} SELECT event_type, window_end - INTERVAL 1 HOUR AS window_start, window_end,
+             count(*) AS n FROM seen WHERE NOT is_late GROUP BY ALL""")
+def stream_late_updates(t: Tables):
+    """Windows that have fired take rows up to half an hour late, and are given again."""
+    root = shared_dir(t.spark, "late")
+    rows, later = delayed(t)
+    table = KeyedTable(t.spark, f"{root}/table", "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP",
+                       "n BIGINT", {"n": REPLACE})
+
+    def run(both):
+        marked = with_lateness(both, "ts", "10 minutes", "30 minutes")
+        counts = window_totals(marked, "ts", "1 hour", ["event_type"], [n_rows()])
+        to_batches(counts, upsert_batches(table), f"{root}/checkpoint", "update").awaitTermination()
+
+    in_turns(t.spark, rows, later, run, root)
+    return table.read().withColumns({c: wall_clock(c) for c in ("window_start", "window_end")})
+
+
+@query(f"WITH {DELAYED_SQL} SELECT event_id, is_late FROM seen")
+def stream_late_rows(t: Tables):
+    """Rows whose window has closed, lateness included, go on with a mark instead of being lost."""
+    root = shared_dir(t.spark, "aside")
+    rows, later = delayed(t)
+
+    def run(both):
+        out = stateful.tag_late(both.withWatermark("ts", "10 minutes"), "ts", "1 hour", "30 minutes")
+        until_idle(live(out, write_once(f"{root}/out"), f"{root}/checkpoint", mode="append"))
+        return out
+
+    out = in_turns(t.spark, rows, later, run, root)
+    return t.spark.read.schema(out.schema).parquet(f"{root}/out").select("event_id", "is_late")
+
+
+@query("""SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+                 time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, count(*) AS n
+          FROM events GROUP BY ALL""")
+def stream_early_results(t: Tables):
+    """Open windows are told every second; the last word on each is kept."""
+    root = shared_dir(t.spark, "early")
+    counts = window_totals(event_time(t.stream("events"), "ts", "1 day"), "ts", "1 day", ["event_type"], [n_rows()])
+    table = KeyedTable(t.spark, f"{root}/table", "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP",
+                       "n BIGINT", {"n": REPLACE})
+    until_idle(live(counts, upsert_batches(table), f"{root}/checkpoint"), keep_state=True)
+    return table.read().withColumns({c: wall_clock(c) for c in ("window_start", "window_end")})
+
+
 # ---- sessions on the clock, count windows, changelogs --------------------------------------------
 
 @query("""SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total

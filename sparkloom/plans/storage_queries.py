@@ -111,10 +111,9 @@ def side_file_lookup(t: Tables):
 
 
 @query("""SELECT status, count(*) AS n, max(page_id) AS last_id FROM (
-            SELECT event_id AS page_id, event_type AS status FROM events
-            WHERE event_type IN ('view', 'click')) GROUP BY status""")
+            SELECT event_id AS page_id, event_type AS status FROM events) GROUP BY status""")
 def insert_select(t: Tables):
-    """A declared JSON table, filtered by SQL, inserted into a catalog table."""
+    """A declared JSON table, read by SQL and inserted into a catalog table in two statements."""
     root = shared_dir(t.spark, "insert")
     lines = t.events.select(F.to_json(F.struct(
         F.col("user_id").cast("string").alias("user_id"),
@@ -123,8 +122,8 @@ def insert_select(t: Tables):
     feed = declare(t.spark, "input_feed", "user_id BIGINT, page_id BIGINT, status STRING", lines)
     name = "output_feed_" + root[-8:]
     create_table(feed, name, f"{root}/table")
-    for status in ("view", "click"):
-        insert_into(t.spark.sql(f"SELECT * FROM input_feed WHERE status = '{status}'"), name, 4)
+    for condition in ("status = 'error'", "status IS DISTINCT FROM 'error'"):
+        insert_into(t.spark.sql(f"SELECT * FROM input_feed WHERE {condition}"), name, 4)
     stored = t.spark.table(name)
     return stored.groupBy("status").agg(n_rows(), F.max("page_id").alias("last_id"))
 

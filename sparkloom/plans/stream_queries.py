@@ -1,8 +1,8 @@
 """Streaming twins: the test tables read as streams, results checked like batch queries.
 
-Append-mode windows are emitted once the watermark has passed them, so their SQL keeps the windows
-that end at or before (highest time - bound). The queries named ``..._whole`` give all windows of the
-replay, the newest included: update mode into a keyed table.
+Append-mode windows are emitted once the watermark has passed them; a last row closes the replay, so
+that all of them are. The queries named ``..._whole`` give the same windows by update mode into a keyed
+table, without a last row.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from sparkloom.session import shared_dir
 from sparkloom.sinks.keyed import ADD, REPLACE, KeyedTable, upsert_batches
 from sparkloom.sinks.files import with_date
 from sparkloom.streaming import stateful
+from sparkloom.streaming.closing import closed
 from sparkloom.streaming.enrich import enrich_to
 from sparkloom.streaming.runtime import finish, to_batches, to_files
 from sparkloom.streaming.side_outputs import routed_batches
@@ -32,13 +33,15 @@ from sparkloom.streaming.traced import traced_batches
 from sparkloom.streaming.watermark import event_time
 from sparkloom.tables import instant, wall_clock
 
-CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-
-
 def timed(t: Tables, bound: str = "1 hour"):
     return event_time(t.stream("events"), "ts", bound)
 
 
+def closed_events(t: Tables, plan, label: str, bound: str = "1 hour"):
+    """All that ``plan`` emits in append mode, the windows that the events leave open included."""
+    return closed(t.spark, t.stream("events").withColumn("ts", instant("ts")), "ts", plan, bound, label)
+
+
 def plain_times(df, *names: str):
     return df.withColumns({n: wall_clock(n) for n in names})
 
@@ -91,34 +94,34 @@ def stream_running_max(t: Tables):
 @query(f"""SELECT event_type, s AS window_start, s + INTERVAL 1 HOUR AS window_end, n, max_value,
                   min_value FROM (
              SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS n,
-                    max(value) AS max_value, min(value) AS min_value FROM events GROUP BY ALL)
-           WHERE s + INTERVAL 1 HOUR <= {CLOSED}""")
+                    max(value) AS max_value, min(value) AS min_value FROM events GROUP BY ALL)""")
 def stream_tumbling(t: Tables):
-    out = window_totals(timed(t), "ts", "1 hour", ["event_type"],
-                        [n_rows(), F.max("value").alias("max_value"),
-                         F.min("value").alias("min_value")])
-    return plain_times(finish(t.spark, out, "tumbling"), "window_start", "window_end")
+    out = closed_events(t, lambda rows: window_totals(
+        rows, "ts", "1 hour", ["event_type"], [n_rows(), F.max("value").alias("max_value"),
+                                               F.min("value").alias("min_value")]), "tumbling")
+    return plain_times(out, "window_start", "window_end")
 
 
 @query(f"""SELECT event_type, s AS window_start, s + INTERVAL 1 HOUR AS window_end, n
            FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS s, count(*) AS n
-                 FROM events GROUP BY ALL) WHERE s + INTERVAL 1 HOUR <= {CLOSED}""")
+                 FROM events GROUP BY ALL)""")
 def stream_tumbling_sql(t: Tables):
     """SQL text over a streaming view."""
-    timed(t).createOrReplaceTempView("event_stream")
-    out = t.spark.sql("""
-        SELECT event_type, window.start AS window_start, window.end AS window_end, count(*) AS n
-        FROM event_stream GROUP BY event_type, window(ts, '1 hour')""")
-    return plain_times(finish(t.spark, out, "sql"), "window_start", "window_end")
+    def by_sql(rows):
+        rows.createOrReplaceTempView("event_stream")
+        return t.spark.sql("""
+            SELECT event_type, window.start AS window_start, window.end AS window_end, count(*) AS n
+            FROM event_stream GROUP BY event_type, window(ts, '1 hour')""")
+    return plain_times(closed_events(t, by_sql, "sql"), "window_start", "window_end")
 
 
 @query(f"""SELECT event_type, s AS window_start, s + INTERVAL 6 HOUR AS window_end, count(*) AS n
            FROM (SELECT event_type, time_bucket(INTERVAL 3 HOUR, ts) - INTERVAL (3 * k) HOUR AS s
-                 FROM events, (VALUES (0), (1)) AS o(k))
-           WHERE s + INTERVAL 6 HOUR <= {CLOSED} GROUP BY ALL""")
+                 FROM events, (VALUES (0), (1)) AS o(k)) GROUP BY ALL""")
 def stream_sliding(t: Tables):
-    out = window_totals(timed(t), "ts", "6 hours", ["event_type"], [n_rows()], slide="3 hours")
-    return plain_times(finish(t.spark, out, "sliding"), "window_start", "window_end")
+    out = closed_events(t, lambda rows: window_totals(
+        rows, "ts", "6 hours", ["event_type"], [n_rows()], slide="3 hours"), "sliding")
+    return plain_times(out, "window_start", "window_end")
 
 
 @query(f"""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
@@ -126,10 +129,11 @@ def stream_sliding(t: Tables):
            FROM (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY user_id ORDER BY event_id) s
                  FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY user_id
                               ORDER BY event_id) + INTERVAL 6 HOUR, TRUE) AS fresh FROM events))
-           GROUP BY user_id, s HAVING max(ts) + INTERVAL 6 HOUR <= {CLOSED}""")
+           GROUP BY user_id, s""")
 def stream_session(t: Tables):
-    out = session_totals(timed(t), "ts", "6 hours", ["user_id"], {"n": ("count", None)})
-    return plain_times(finish(t.spark, out, "session"), "session_start", "session_end")
+    out = closed_events(t, lambda rows: session_totals(
+        rows, "ts", "6 hours", ["user_id"], {"n": ("count", None)}), "session")
+    return plain_times(out, "session_start", "session_end")
 
 
 WINDOW_KEYS = "event_type STRING, window_start TIMESTAMP, window_end TIMESTAMP"
@@ -277,11 +281,9 @@ def stream_changelog(t: Tables):
     return finish(t.spark, stateful.changelog(rows, ["user_id"], "event_id", "c"), "changelog")
 
 
-@query(f"""SELECT user_id, CAST(event_id AS VARCHAR) AS order_id,
-                  CASE WHEN event_id % 3 = 0 THEN 'reviewed' ELSE 'auto' END AS status
-           FROM events WHERE event_type = 'purchase'
-            AND epoch_us(ts) // 1000 + 7200000 <=
-                (SELECT max(epoch_us(ts)) // 1000 - 3600000 FROM events)""")
+@query("""SELECT user_id, CAST(event_id AS VARCHAR) AS order_id,
+                 CASE WHEN event_id % 3 = 0 THEN 'reviewed' ELSE 'auto' END AS status
+          FROM events WHERE event_type = 'purchase'""")
 def stream_auto_review(t: Tables):
     """Purchases are orders; every third gets a review half an hour later. Event-time timers."""
     rows = t.stream("events").select("user_id", "event_id", "event_type", instant("ts").alias("ts"))
@@ -290,12 +292,14 @@ def stream_auto_review(t: Tables):
     is_order = F.col("event_type") == "purchase"
     made = F.when(is_order & (F.col("event_id") % 3 == 0), F.array(order, review)).when(
         is_order, F.array(order)).otherwise(F.array().cast("array<struct<kind:string,after:int>>"))
-    # The watermark stands on the event itself, so every event moves the clock.
-    marked = rows.withWatermark("ts", "1 hour")
-    both = marked.select("user_id", F.col("event_id").cast("string").alias("order_id"), "ts",
-                         F.inline_outer(made)).where("kind IS NOT NULL")
-    both = both.select("user_id", "order_id", "kind", "ts", "after")
-    return finish(t.spark, stateful.review_timers(both, "2 hours"), "review")
+
+    def reviews(marked):
+        # The watermark stands on the event itself, so every event moves the clock.
+        both = marked.select("user_id", F.col("event_id").cast("string").alias("order_id"), "ts",
+                             F.inline_outer(made)).where("kind IS NOT NULL")
+        return stateful.review_timers(both.select("user_id", "order_id", "kind", "ts", "after"), "2 hours")
+
+    return closed(t.spark, rows, "ts", reviews, "1 hour", "review")
 
 
 # ---- applications ------------------------------------------------------------------------------
@@ -326,18 +330,12 @@ def stream_dashboard(t: Tables):
     return plain_times(dashboard(table.read(), "event_type"), "window_start", "window_end")
 
 
-@query(f"""SELECT event_type AS "channelID", CAST(sum(n) AS BIGINT) AS visited FROM (
-             SELECT event_type, time_bucket(INTERVAL 10 SECOND, ts) AS s, count(*) AS n FROM events
-             GROUP BY ALL) WHERE s + INTERVAL 10 SECOND <=
-             (SELECT max(ts) - INTERVAL 5 SECOND FROM events) GROUP BY ALL""")
+@query("""SELECT event_type AS "channelID", count(*) AS visited FROM events GROUP BY ALL""")
 def stream_channel_heat(t: Tables):
-    """Visits of closed 10 s windows, added up per channel in a keyed table."""
-    root = shared_dir(t.spark, "heat")
-    clicks = clicklog.messages(click_lines(t.stream("events"))).withWatermark("ts", "5 seconds")
-    table = KeyedTable(t.spark, f"{root}/table", "channelID STRING", "visited BIGINT",
-                       {"visited": ADD})
-    run_to(clicklog.channel_heat(clicks), upsert_batches(table), root)
-    return table.read()
+    """Visits of closed 10 s windows, added up per channel."""
+    clicks = clicklog.messages(click_lines(t.stream("events")))
+    heat = closed(t.spark, clicks, "ts", clicklog.channel_heat, "5 seconds", "heat")
+    return heat.groupBy("channelID").agg(F.sum("visited").alias("visited"))
 
 
 @query("""SELECT event_type AS "channelID", count(*) AS visited FROM events GROUP BY ALL""")

@@ -47,14 +47,14 @@ def rounds(start: Callable[[int], StreamingQuery], most: int = 10_000) -> int:
     raise RuntimeError(f"still rows after {most} runs")
 
 
-def until_idle(query: StreamingQuery, timeout: float = 600.0) -> None:
-    """Stop a query on the clock once it has read its input and let go of all state."""
+def until_idle(query: StreamingQuery, timeout: float = 600.0, *, keep_state: bool = False) -> None:
+    """Stop a query on the clock once it has read its input and, unless it may keep it, let go of all state."""
     limit = time.monotonic() + timeout
     try:
         while query.isActive:
             last = query.lastProgress
-            if last and last["batchId"] > 0 and not last["numInputRows"] and all(
-                    s["numRowsTotal"] == 0 for s in last["stateOperators"]):
+            read = last and not last["numInputRows"] and (keep_state or last["batchId"] > 0)
+            if read and (keep_state or all(s["numRowsTotal"] == 0 for s in last["stateOperators"])):
                 return
             if time.monotonic() > limit:
                 raise TimeoutError("the query still holds state")

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from sparkloom.operators.changelog import changelog
 from sparkloom.operators.lateness import tag_lateness, watermark_audit
 from sparkloom.operators.newness import newness
-from sparkloom.operators.running import SLICE, position_of, running, with_slices
+from sparkloom.operators.running import SLICE, WHOLE, running, with_slices
 from sparkloom.operators.windows import count_windows, session_totals, window_elements
 from tests.conftest import rows
 
@@ -27,7 +27,7 @@ def skewed(spark):
 
 
 def test_slices_keep_order_and_bound_size(skewed):
-    cut = with_slices(skewed, ["k"], position_of(skewed, "id"), 50)
+    cut = with_slices(skewed, ["k"], ["id"], 50)
     per_slice = cut.groupBy("k", SLICE).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"),
                                             F.max("id").alias("hi"))
     assert per_slice.agg(F.max("n")).first()[0] <= 50
@@ -35,6 +35,18 @@ def test_slices_keep_order_and_bound_size(skewed):
     assert per_slice.withColumn("before", F.lag("hi").over(ordered)).where("before >= lo").count() == 0
 
 
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_outliers_and_bursts_are_cut(spark, keys):
+    """One early row and a thousand at one instant: no slice has more than twice the limit."""
+    at = F.when(F.col("id") == 0, 0).when(F.col("id") % 2 == 0, 5_000_000).otherwise(4_000_000 + F.col("id"))
+    busy = spark.range(0, 2000, 1, 5).select(F.lit(1).alias("k"), at.alias("t"), "id")
+    cut = with_slices(busy, keys, ["t", "id"], 100)
+    sizes = [r["count"] for r in cut.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 200 and cut.where(F.col(SLICE) == WHOLE).count() == 0
+    got = running(busy, keys, ["t", "id"], {"n": ("count", None)}, rows=100)
+    assert sorted(r.n for r in got.collect()) == list(range(1, 2001))
+
+
 @pytest.mark.parametrize("size", SIZES)
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_running(skewed, size, inclusive):
