@@ -15,12 +15,13 @@ inside regions that already have something in common:
    the pivot: members of that window are replicated into the ball. Members outside all balls form
    the region's outer rest.
 4. *Recursion.* Balls and rests in which more than one component is left are regions of the next
-   round; those whose members are already connected are closed. From then on ever more strays,
-   members outside a region's largest component, are pivots as well. Pivots leave, as all their
-   pairs are decided, so the rounds end. Every pair of different components is thereby compared or
-   excluded by a proven bound, while a family of thousands of near copies needs a few pivots only.
-5. *Pairs.* Who wants all links gets them from the components: a link never leaves its component, so
-   the pairs of members of each are compared, block by block, until none is left undecided.
+   round; those whose members are already connected are closed. Pivots leave, as all their pairs are
+   decided. After ``ROUNDS`` rounds the members of different components that are still together in a
+   region are compared in full: pair by pair where that is little, else block against block. Every pair
+   of different components is thereby compared or excluded by a proven bound, while a family of thousands
+   of near copies needs a few pivots only.
+5. *Pairs.* A link never leaves its component. Who wants all links, or their numbers, gets them from the
+   components, whose members are compared block by block.
 
 Distances first meet a cheap bound: adding up a set's shingles in hashed bins only shrinks distances,
 so bins that differ too much prove a pair to be far. Only the rest fetches whole sets.
@@ -32,9 +33,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkloom.llm.components import components
+from sparkloom.llm.blocks import linked_between, shared_items
+from sparkloom.llm.grouping import merged_labels, mixed, relabelled, undecided
 from sparkloom.llm.words import chunks, mix, shingle_sets
 from sparkloom.llm.workspace import Workspace
 
@@ -42,11 +44,10 @@ SKETCH_BITS = 20      # buckets of the count of texts per shingle
 BLOCK = 1 << 12       # buckets in one row of that table
 BROADCAST_ROWS = 1 << 20   # ids (one long each) sent to all executors; more are joined by shuffle
 RING = 2 ** 0.5       # upper size of a ring over its lower
-CENTRES = 4           # pivots of a region that get a ball
-MORE_STRAYS = 16      # growth per round of the pivots taken from the smaller components
+CENTRES = 4           # pivots of a region in a round
+ROUNDS = 2            # rounds of pivots before the exact comparison of what is left
 SQUARE = 256          # members in a block of a component, about
 SQUARE_ITEMS = 1 << 18     # shingles in such a block, about
-COLUMNS = 1 << 12     # shingles that a block counts at a time
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -55,92 +56,119 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
 
     A text's set is its distinct ``words``-word shingles (blank-separated, A-Z in lower case), or its
     whole sequence if it is shorter. Texts link when 100 * intersection >= ``percent`` * union. Equal
-    sets are collapsed first and take part once. Null, empty and blank texts have an empty set and
-    link with nothing. A row with a null id takes the component of rows with an equal set, else null.
-    Rows that repeat an id count as one document each for their own text. Other columns are not read.
+    sets are collapsed first and take part once, under 64 bits of hash. Null, empty and blank texts have
+    an empty set and link with nothing. A row with a null id links like others but lends no id; a
+    component without any id has none. Rows that repeat an id count each for their own text. Ids are whole
+    numbers or strings. Other columns are not read.
     """
-    work = Workspace(docs.sparkSession, "jaccard")
-    _, of_row, labels = _components(docs, words, percent, id_col, text_col, work)
-    return _named(of_row, labels, id_col)
+    return _Join(docs, words, percent, id_col, text_col).rows()
 
 
 def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                  text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``jaccard_components`` with ``n_links``, and all links ``(a, b)``, ``a < b``.
 
-    Links are those between different sets, each set named by its smallest id. ``n_links`` counts the
-    other rows that a row is linked with, those of an equal set included. It is 0 for an empty set and
-    null where ``component_id`` is null for want of an id.
+    ``n_links`` counts the other rows that a row is linked with, those of an equal set included; it is 0
+    for an empty set. Links are those between different sets, each named by its smallest id; they are
+    computed when read. A set whose rows have no id is in no link.
     """
-    work = Workspace(docs.sparkSession, "jaccard")
-    docs, of_row, labels = _components(docs, words, percent, id_col, text_col, work)
-    links = work.keep("links", _all_links(docs, of_row, labels, words, percent, work))
-    sizes = of_row.where("n > 0 AND rep IS NOT NULL").groupBy("rep").agg(F.count("*").alias("size"))
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    met = (ends.join(sizes.withColumnRenamed("rep", "b"), "b")
-           .groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("met")))
-    counts = sizes.join(met, "rep", "left").select(
-        "rep", (F.col("size") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
-    rows = _named(of_row.join(counts, "rep", "left"), labels, id_col,
-                  F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
-    return rows, links
-
-
-def _named(of_row: DataFrame, labels: DataFrame, id_col: str, *more: Column) -> DataFrame:
-    return (of_row.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("label", "rep").alias("component_id"), *more))
-
-
-def _components(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str,
-                work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(id, text)``, ``(id, n, rep)`` of all rows, and ``(node, label)`` of the linked sets."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-
-    profile = work.keep("profile", docs.mapInArrow(
-        partial(_profile, words=words),
-        "id long, n int, sum long, xor long, bins binary, block int, counts binary"))
-    rows = profile.where("block IS NULL").select("id", "n", "sum", "xor")
-    classes = rows.where("n > 0").groupBy("n", "sum", "xor").agg(F.min("id").alias("rep"))
-    of_row = work.keep("of-row", rows.join(classes, ["n", "sum", "xor"], "left")
-                       .select("id", "n", F.when(F.col("n") > 0, F.col("rep"))
-                               .otherwise(F.col("id")).alias("rep")))
-    rank = _rank_of_buckets(profile)
-
-    members = _shared_prefixes(docs, of_row, words, percent, rank, work)
-    return docs, of_row, _join_regions(docs, profile, members, words, percent, work)
+    join = _Join(docs, words, percent, id_col, text_col)
+    return join.rows(degrees=True), join.links()
+
+
+class _Join:
+    """The tables of one run: ``profile`` per row, ``classes`` per set, ``labels`` of the linked sets."""
+
+    def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
+        self.words, self.percent, self.id_col = words, percent, id_col
+        self.work = Workspace(docs.sparkSession, "jaccard")
+        kind = "string" if docs.schema[id_col].dataType.simpleString() == "string" else "long"
+        self.docs = docs.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).alias("text"))
+        self.profile = self.work.keep("profile", self.docs.mapInArrow(
+            partial(_profile, words=words),
+            f"id {kind}, node long, n int, bins binary, block int, counts binary"))
+        self.of_row = self.profile.where("block IS NULL").select("id", "node", "n")
+        self.classes = self.work.keep("classes", self.of_row.where("n > 0").groupBy("node").agg(
+            F.min("id").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies")))
+        rank = _rank_of_buckets(self.profile)
+        self.members = _shared_prefixes(self.docs, words, percent, rank, self.work)
+        self.sets = self.work.keep("sets", self._whole_sets())
+        self.labels = _join_regions(self.profile, self.members, self.sets, percent, self.work)
+
+    def rows(self, degrees: bool = False) -> DataFrame:
+        label = F.coalesce("label", "node").alias("label")
+        named = self.classes.join(self.labels, "node", "left").select("node", "least", "copies", label)
+        groups = named.groupBy("label").agg(F.min("least").alias("component_id"))
+        named = named.join(groups, "label").select("node", "component_id", "copies")
+        more = []
+        if degrees:
+            met = (_component_squares(self.labels, self.classes, self.sets).mapInArrow(partial(_degrees, percent=self.percent), "node long, met long")
+                   .groupBy("node").agg(F.sum("met").alias("met")))
+            named = named.join(met, "node", "left").withColumn(
+                "n_links", F.col("copies") - 1 + F.coalesce("met", F.lit(0)))
+            more = ["n_links"]
+        named = self.work.keep("named-links" if degrees else "named", named.select("node", "component_id", *more))
+        linked = self.of_row.where("n > 0").join(named, "node").select("id", "n", "component_id", *more)
+        alone = self.of_row.where("n = 0").select(
+            "id", "n", F.col("id").alias("component_id"), *[F.lit(0).cast("long").alias(c) for c in more])
+        return linked.unionByName(alone).select(
+            F.col("id").alias(self.id_col), F.col("n").cast("long").alias("n_shingles"), "component_id", *more)
+
+    def links(self) -> DataFrame:
+        found = _component_squares(self.labels, self.classes, self.sets).mapInArrow(partial(_pairs, percent=self.percent), "x long, y long")
+        first, second = (self.classes.select(F.col("node").alias(x), F.col("least").alias(name))
+                         for x, name in (("x", "p"), ("y", "q")))
+        return (found.join(first, "x").join(second, "y").where("p IS NOT NULL AND q IS NOT NULL")
+                .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
+
+    def _whole_sets(self) -> DataFrame:
+        """``(node, items)`` of all members of regions, from the rows that have the smallest id of their set."""
+        wanted = self.members.select("node").distinct().join(self.classes, "node")
+        wanted = self.work.keep("wanted", wanted.select("node", "least"))
+        ids = wanted.select(F.col("least").alias("own")).distinct()
+        if ids.count() <= BROADCAST_ROWS:
+            ids = F.broadcast(ids)
+        whole = self.docs.join(ids, self.docs.id.eqNullSafe(ids.own), "left_semi").select("text").mapInArrow(
+            partial(_sets, words=self.words), "node long, items array<bigint>")
+        return whole.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 # --- sets and the order of shingles -------------------------------------------------------------
 
+def set_node(one: np.ndarray) -> int:
+    """64 bits that name a set."""
+    words = np.array([len(one), one.sum(dtype=np.uint64),
+                      np.bitwise_xor.reduce(mix(one ^ np.uint64(77))) if len(one) else 0], np.uint64)
+    found = np.uint64(0)
+    for word in words:
+        found = mix(np.array([found ^ word]) * np.uint64(0x9E3779B97F4A7C15))[0]
+    return int(found.view(np.int64))
+
+
 def _profile(batches, words: int):
-    """Set size and fingerprints per text; at the end of the task its counts of texts per bucket."""
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    """Name, size and bins of each text's set; at the end of the task its counts of texts per bucket."""
+    kind, counts = pa.int64(), np.zeros(1 << SKETCH_BITS, np.int64)
+    names = ["id", "node", "n", "bins", "block", "counts"]
     for batch in batches:
-        ids, sizes, sums, xors, bins = batch.column(0), [], [], [], []
+        ids, nodes, sizes, bins = batch.column(0), [], [], []
+        kind = ids.type
         for chunk in chunks(batch.column(1)):
             sets = shingle_sets(chunk, words)
-            for one in sets:
-                sizes.append(len(one))
-                sums.append(int(one.sum(dtype=np.uint64).view(np.int64)))
-                xors.append(int(np.bitwise_xor.reduce(mix(one ^ np.uint64(77))).view(np.int64))
-                            if len(one) else 0)
-                bins.append(_bins(one))
+            nodes += [set_node(one) for one in sets]
+            sizes += [len(one) for one in sets]
+            bins += [_bins(one) for one in sets]
             counts += np.bincount(_bucket(np.concatenate(sets)), minlength=len(counts))
         empty = pa.nulls(len(ids))
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes, pa.int32()), pa.array(sums, pa.int64()),
-             pa.array(xors, pa.int64()), pa.array(bins, pa.binary()), empty.cast(pa.int32()),
-             empty.cast(pa.binary())],
-            ["id", "n", "sum", "xor", "bins", "block", "counts"])
+            [ids, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bins, pa.binary()),
+             empty.cast(pa.int32()), empty.cast(pa.binary())], names)
     if counts.any():
         blocks = counts.reshape(-1, BLOCK)
         none = pa.nulls(len(blocks))
         yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()),
-             none.cast(pa.int64()), none.cast(pa.binary()), pa.array(range(len(blocks)), pa.int32()),
-             pa.array([b.tobytes() for b in blocks], pa.binary())],
-            ["id", "n", "sum", "xor", "bins", "block", "counts"])
+            [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()),
+             pa.array(range(len(blocks)), pa.int32()),
+             pa.array([b.tobytes() for b in blocks], pa.binary())], names)
 
 
 def _bins(one: np.ndarray) -> bytes:
@@ -197,52 +225,45 @@ def _least_overlap(n, percent: int):
 
 
 def _prefixes(batches, words: int, percent: int, rank: bytes):
-    """``(region, id, n)`` for the first shingles of each set; equal sets of a task once."""
+    """``(region, node, n)`` for the first shingles of each set; equal sets of a task once."""
     ranks, seen = np.frombuffer(rank, np.uint8), set()
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(batch.column(0)):
             keys, owners, sizes = [], [], []
-            for i, one in enumerate(shingle_sets(chunk, words), chunk.first):
-                n = len(one)
-                mark = (n, int(one.sum(dtype=np.uint64)))
-                if not n or ids[i] is None or mark in seen:
+            for one in shingle_sets(chunk, words):
+                n, node = len(one), set_node(one)
+                if not n or node in seen:
                     continue
-                seen.add(mark)
+                seen.add(node)
                 level = ranks[_bucket(one)].astype(np.uint64)
                 order = (level << np.uint64(56)) | (mix(one) >> np.uint64(8))
                 first = n - _least_overlap(n, percent) + 1
                 keys.append(one[np.argpartition(order, first - 1)[:first]])
-                owners.append(np.full(first, ids[i], np.int64))
+                owners.append(np.full(first, node, np.int64))
                 sizes.append(np.full(first, n, np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).view(np.int64)),
                      pa.array(np.concatenate(owners)), pa.array(np.concatenate(sizes))],
-                    ["region", "id", "n"])
-
-
-def _shared_prefixes(docs: DataFrame, of_row: DataFrame, words: int, percent: int, rank: bytes,
-                     work: Workspace) -> DataFrame:
-    """``(region, rep, n)``: regions with more than one set, split into size rings."""
-    postings = docs.mapInArrow(partial(_prefixes, words=words, percent=percent, rank=rank),
-                               "region long, id long, n int")
-    shared = (postings.groupBy("region").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .where("low != high").select("region"))
-    met = work.keep("met", postings.join(shared, "region"))
-    reps = of_row.where("n > 0").select("id", F.col("n").cast("int").alias("n"), "rep").distinct()
+                    ["region", "node", "n"])
+
+
+def _shared_prefixes(docs: DataFrame, words: int, percent: int, rank: bytes, work: Workspace) -> DataFrame:
+    """``(bucket, node, n)``: regions with more than one set, split into size rings."""
+    postings = docs.select("text").mapInArrow(
+        partial(_prefixes, words=words, percent=percent, rank=rank), "region long, node long, n int")
+    region = Window.partitionBy("region")          # one shuffle of the postings; rows may spill, none is held
+    met = (postings.withColumn("low", F.min("node").over(region)).withColumn("high", F.max("node").over(region))
+           .where("low != high").select("region", "node", "n").distinct())
     ring = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(RING))).cast("int")
     reach = F.floor(F.log(F.col("n") * 100.0 / percent + 1e-6) / F.log(F.lit(RING))).cast("int")
-    rings = (met.join(reps, ["id", "n"]).select("region", "rep", "n").distinct()
-             .select("rep", "n", F.explode(F.sequence(ring, reach)).alias("ring"), "region")
-             .select(F.xxhash64("region", "ring").alias("region"), "rep", "n"))
-    rings = work.keep("rings", rings)
-    work.drop("met")
-    several = (rings.groupBy("region").agg(
-        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size"),
-        F.bit_xor(F.xxhash64("rep")).alias("mark")).where("low != high")
-        .groupBy("low", "high", "size", "mark").agg(F.min("region").alias("region")))   # equal regions once
-    members = work.keep("members", rings.join(several.select("region"), "region"))
+    rings = work.keep("rings", met.select("node", "n", F.explode(F.sequence(ring, reach)).alias("ring"), "region")
+                      .select(F.xxhash64("region", "ring").alias("bucket"), "node", "n"))
+    several = (rings.groupBy("bucket").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("mark")).where("low != high")
+        .groupBy("low", "high", "size", "mark").agg(F.min("bucket").alias("bucket")))   # equal regions once
+    members = work.keep("members", rings.join(several.select("bucket"), "bucket"))
     work.drop("rings")
     return members
 
@@ -250,25 +271,24 @@ def _shared_prefixes(docs: DataFrame, of_row: DataFrame, words: int, percent: in
 # --- pivots, balls and windows ------------------------------------------------------------------
 
 def _sets(batches, words: int):
-    """``(rep, items)``: the whole sorted set."""
+    """``(node, items)``: the whole sorted sets; empty ones are left out."""
     for batch in batches:
-        ids = batch.column(0)
-        for chunk in chunks(batch.column(1)):
-            sets = shingle_sets(chunk, words)
-            edges = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(chunk.first, len(sets)),
-                 pa.ListArray.from_arrays(pa.array(edges),
-                                          pa.array(np.concatenate(sets).view(np.int64)))],
-                ["rep", "items"])
+        for chunk in chunks(batch.column(0)):
+            sets = [one for one in shingle_sets(chunk, words) if len(one)]
+            if sets:
+                edges = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_node(s) for s in sets], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(sets).view(np.int64)))],
+                    ["node", "items"])
 
 
-def _may_be_near(batches):
+def _may_be_near(batches, window: int):
     """Keep pairs whose bins don't prove that 100 * intersection < window * union."""
     for batch in batches:
-        rows = [batch.column(k).to_pylist() for k in range(2, 7)]
+        rows = [batch.column(k).to_pylist() for k in range(2, 6)]
         keep = []
-        for i, (window, n, m, a, b) in enumerate(zip(*rows)):
+        for i, (n, m, a, b) in enumerate(zip(*rows)):
             a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (a, b))
             while len(a) > len(b):
                 a = a[:len(a) // 2] + a[len(a) // 2:]
@@ -278,162 +298,131 @@ def _may_be_near(batches):
             if 100 * common >= window * (n + m - common):
                 keep.append(i)
         if keep:
-            yield batch.select([0, 1, 2, 3, 4]).take(pa.array(keep))
+            yield batch.select([0, 1, 2, 3]).take(pa.array(keep))
 
 
-def _near(window: Column) -> Column:
+def _near(window: int) -> Column:
     """100 * intersection >= window * union."""
     return 100 * F.col("common") >= window * (F.col("n") + F.col("m") - F.col("common"))
 
 
-def _join_regions(docs: DataFrame, profile: DataFrame, members: DataFrame, words: int, percent: int,
+def _close(pairs: DataFrame, bins: DataFrame, sets: DataFrame, window: int) -> DataFrame:
+    """The pairs ``(x, y)`` of similarity ``window`` and more, with sizes and what they have in common."""
+    sized = F.greatest("n", "m") * window <= F.least("n", "m") * 100
+    maybe = (pairs.join(bins.toDF("x", "n", "a"), "x").join(bins.toDF("y", "m", "b"), "y").where(sized)
+             .select("x", "y", "n", "m", "a", "b")
+             .mapInArrow(partial(_may_be_near, window=window), "x long, y long, n int, m int"))
+    return (maybe.join(sets.toDF("x", "a"), "x").join(sets.toDF("y", "b"), "y")
+            .select("x", "y", "n", "m", F.size(F.array_intersect("a", "b")).alias("common")).where(_near(window)))
+
+
+def _join_regions(profile: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
                   work: Workspace) -> DataFrame:
-    """``(node, label)`` of all representatives with a link."""
-    spark, wide = docs.sparkSession, 2 * percent - 100
-    wanted = members.select(F.col("rep").alias("id")).distinct()
-    bins = work.keep("bins", profile.where("n > 0").select("id", "n", "bins")
-                     .join(wanted, "id", "left_semi").dropDuplicates(["id"]))
-    labels = spark.createDataFrame([], "node long, label long")
-    regions = members.withColumn("stray", F.lit(False))
-    links, strays, turn = [], CENTRES, 0
-    while not regions.isEmpty():
-        slot = F.when(F.col("stray"), CENTRES + F.pmod(F.xxhash64("rep", F.lit(turn)),
-                                                       F.lit(strays)))
-        centre = F.pmod(F.xxhash64("rep", F.lit(-1 - turn)), F.lit(CENTRES))
-        chosen = (regions.select("region", "rep", "n", F.explode(F.array(centre, slot))
-                                 .alias("slot")).where("slot IS NOT NULL")
-                  .groupBy("region", "slot").agg(F.min(F.struct("rep", "n")).alias("p"))
-                  .groupBy("region", F.col("p.rep").alias("pivot"), F.col("p.n").alias("m"))
-                  .agg(F.min("slot").alias("slot")))
+    """``(node, label)`` of all sets that share a region with another one."""
+    wide = 2 * percent - 100
+    labels = work.keep("labels-0", members.select("node").distinct().withColumn("label", F.col("node")))
+    bins = work.keep("bins", profile.where("n > 0").select("node", "n", "bins")
+                     .join(labels.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    rows = members.withColumn("label", F.col("node"))
+    for turn in range(ROUNDS):
+        if rows.isEmpty():
+            return labels
+        slot = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(CENTRES))
+        chosen = (rows.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n")).alias("p"))
+                  .select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("m")))
         chosen = work.keep(f"pivots-{turn}", chosen)
-        central = F.col("slot") < CENTRES
-        window = F.when(central, wide).otherwise(percent)
-        sized = (F.greatest("n", "m") * window <= F.least("n", "m") * 100) & F.expr("rep != pivot")
-        pairs = (regions.join(chosen, "region").where(sized)
-                 .select(F.when(central, F.col("rep")).otherwise(F.least("rep", "pivot")).alias("x"),
-                         F.when(central, F.col("pivot")).otherwise(F.greatest("rep", "pivot"))
-                         .alias("pivot"), window.alias("window"))
-                 .groupBy("x", "pivot").agg(F.min("window").alias("window")))
-        seen = work.keep(f"seen-{turn}", pairs.join(bins.toDF("x", "n", "a"), "x")
-                         .join(bins.toDF("pivot", "m", "b"), "pivot")
-                         .select("x", "pivot", "window", "n", "m", "a", "b")
-                         .mapInArrow(_may_be_near,
-                                     "x long, pivot long, window int, n int, m int"))
-        needed = work.keep(f"needed-{turn}", seen.select("x").unionByName(
-            seen.select(F.col("pivot").alias("x"))).distinct())
-        if needed.count() <= BROADCAST_ROWS:
-            needed = F.broadcast(needed)
-        whole = work.keep(f"sets-{turn}", docs.join(needed, docs.id == needed.x, "left_semi")
-                          .mapInArrow(partial(_sets, words=words), "rep long, items array<bigint>")
-                          .dropDuplicates(["rep"]))
-        close = work.keep(f"close-{turn}", seen.join(whole.toDF("x", "a"), "x")
-                          .join(whole.toDF("pivot", "b"), "pivot")
-                          .select("x", "pivot", "n", "m", "window",
-                                  F.size(F.array_intersect("a", "b")).alias("common"))
-                          .where(_near(F.col("window"))))
-        work.drop(f"seen-{turn}", f"needed-{turn}", f"sets-{turn}")
-        linked = close.where(_near(F.lit(percent))).select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-        links.append(linked)
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        labels = components(every, work, f"labels-{turn}")
-
-        undecided = regions.join(chosen.select("region", F.col("pivot").alias("rep")),
-                                 ["region", "rep"], "left_anti")
-        centres = chosen.where(F.col("slot") < CENTRES).select("region", "pivot")
-        around = (undecided.drop("stray").join(centres, "region")
-                  .join(close.select(F.col("x").alias("rep"), "pivot", "common", "m"),
-                        ["rep", "pivot"]))
-        balls = around.select(F.xxhash64("pivot", F.lit(turn)).alias("region"), "rep", "n")
-        inside = around.where(_near(F.lit(percent))).select("region", "rep")
-        rest = undecided.drop("stray").join(inside.distinct(), ["region", "rep"], "left_anti")
-        named = (balls.unionByName(rest).distinct()
-                 .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                 .withColumn("label", F.coalesce("label", "rep")))
-        named = work.keep(f"named-{turn}", named)
-        mixed = (named.groupBy("region", "label").agg(F.count("*").alias("size"))
-                 .groupBy("region").agg(F.count("*").alias("labels"),
-                                        F.max(F.struct("size", "label")).alias("main"))
-                 .where("labels > 1").select("region", F.col("main.label").alias("main")))
-        regions = work.keep(f"regions-{turn}", named.join(mixed, "region").select(
-            "region", "rep", "n", (F.col("label") != F.col("main")).alias("stray")))
-        work.drop(f"named-{turn}", f"pivots-{turn}", f"regions-{turn - 1}")
-        strays, turn = min(strays * MORE_STRAYS, 1 << 30), turn + 1
-    return labels
+        sized = (F.greatest("n", "m") * wide <= F.least("n", "m") * 100) & F.expr("node != pivot")
+        pairs = rows.join(chosen, "bucket").where(sized).select(
+            F.col("node").alias("x"), F.col("pivot").alias("y")).distinct()
+        close = work.keep(f"close-{turn}", _close(pairs, bins, sets, wide))
+        linked = close.where(_near(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        labels, merged = merged_labels(labels, linked, work, f"{turn + 1}")
+
+        undecided_rows = rows.join(chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
+        around = (undecided_rows.join(chosen.select("bucket", "pivot"), "bucket")
+                  .join(close.select(F.col("x").alias("node"), F.col("y").alias("pivot"), "common", "m"),
+                        ["node", "pivot"]))
+        balls = around.select(F.xxhash64("pivot", F.lit(turn)).alias("bucket"), "node", "n", "label")
+        inside = around.where(_near(percent)).select("bucket", "node").distinct()
+        rest = undecided_rows.join(inside, ["bucket", "node"], "left_anti").select("bucket", "node", "n", "label")
+        regions = relabelled(balls.unionByName(rest).distinct(), merged)
+        rows = work.keep(f"regions-{turn}", mixed(work.keep(f"split-{turn}", regions)))
+        work.drop(f"split-{turn}", f"pivots-{turn}", f"close-{turn}", f"regions-{turn - 1}")
+    if rows.isEmpty():
+        return labels
+    few, many = undecided(rows, labels, bins.select("node", "n"), work)
+    few = _close(few.toDF("x", "y"), bins, sets, percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = work.keep("links-few", few).unionByName(
+        work.keep("links-many", linked_between(many, sets, percent)))
+    return merged_labels(labels, links, work, "last")[0]
 
 
 # --- all links ----------------------------------------------------------------------------------
 
-def _squares(batches, percent: int):
-    """``(a, b)`` of the linked pairs; the rows of a square come one after the other."""
-    at, nodes, blocks, sets = None, [], [], []
-    for batch in batches:
-        names, items = batch.column("node").to_pylist(), batch.column("items")
-        keys = zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j")))
-        for k, (key, block) in enumerate(zip(keys, batch.column("block").to_pylist())):
-            if key != at and at is not None:
-                yield _linked(nodes, [block == at[1] for block in blocks], sets, at[1] == at[2], percent)
-                nodes, blocks, sets = [], [], []
-            at = key
-            nodes.append(names[k])
-            blocks.append(block)
-            sets.append(items[k].values.to_numpy().copy())
-    if at is not None:
-        yield _linked(nodes, [block == at[1] for block in blocks], sets, at[1] == at[2], percent)
-
-
-def _linked(nodes: list, is_left: list, sets: list, same: bool, percent: int) -> pa.RecordBatch:
-    """The linked pairs between the left and the right sets, or among all of them."""
-    nodes, left = np.array(nodes, np.int64), np.array(is_left)
-    rows = np.flatnonzero(left)
-    columns = rows if same else np.flatnonzero(~left)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, item, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1
-    keep = shared[item]
-    owner, item = owner[keep], (np.cumsum(shared) - 1)[item[keep]]
-    order = np.argsort(item, kind="stable")
-    owner, item = owner[order], item[order]
-    common = np.zeros((len(rows), len(columns)), np.int64)
-    for begin in range(0, int(shared.sum()), COLUMNS):
-        part = slice(*np.searchsorted(item, (begin, begin + COLUMNS)))
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[owner[part], item[part] - begin] = 1
-        common += (has[rows] @ has[columns].T).astype(np.int64)
-    linked = 100 * common >= percent * (sizes[rows][:, None] + sizes[columns] - common)
-    x, y = np.nonzero(np.triu(linked, 1) if same else linked)
-    x, y = nodes[rows[x]], nodes[columns[y]]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+def _component_squares(labels: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Blocks of the members of each component against each other: a row per member and square."""
+    sized = labels.join(classes.select("node", "n", "copies"), "node")
+    cuts = sized.groupBy("label").agg(F.count("*").alias("size"), F.ceil(F.greatest(
+        F.count("*") / SQUARE, F.sum("n") / SQUARE_ITEMS)).cast("int").alias("cuts")).where("size > 1")
+    placed = sized.join(cuts, "label").select(
+        "node", "label", "copies", "cuts", F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("block"))
+    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
+    return (placed.select("node", "label", "copies", "block", other)
+            .select("node", "label", "copies", "block", F.least("block", "other").alias("i"),
+                    F.greatest("block", "other").alias("j"))
+            .join(sets, "node").repartition("label", "i", "j").sortWithinPartitions("label", "i", "j"))
 
 
-def _all_links(docs: DataFrame, of_row: DataFrame, labels: DataFrame, words: int, percent: int,
-               work: Workspace) -> DataFrame:
-    """``(a, b)`` of all linked representatives.
+def _each_square(batches):
+    """``(nodes, copies, rows, columns, sets)`` of each square; its rows come one after the other."""
+    at, held = None, ([], [], [], [])
 
-    A component is cut into blocks by a hash, and every two blocks are a square of pairs. A component of
-    two has the one link that made it.
-    """
-    sized = labels.join(of_row.where("n > 0 AND id = rep").select(F.col("rep").alias("node"), "n")
-                        .dropDuplicates(["node"]), "node")
-    cuts = sized.groupBy("label").agg(F.count("*").alias("size"), F.ceil(F.greatest(
-        F.count("*") / SQUARE, F.sum("n") / SQUARE_ITEMS)).cast("int").alias("cuts"))
-    placed = work.keep("placed", sized.join(cuts, "label").select(
-        "node", "label", "size", "cuts", F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("block")))
-    several = placed.where("size > 2")
-    nodes = several.select(F.col("node").alias("x"))
-    if nodes.count() <= BROADCAST_ROWS:
-        nodes = F.broadcast(nodes)
-    whole = (docs.join(nodes, docs.id == nodes.x, "left_semi")
-             .mapInArrow(partial(_sets, words=words), "rep long, items array<bigint>")
-             .dropDuplicates(["rep"]))
-    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
-    squares = (several.select("node", "label", "block", other)
-               .select("node", "label", "block", F.least("block", "other").alias("i"),
-                       F.greatest("block", "other").alias("j"))
-               .join(whole.withColumnRenamed("rep", "node"), "node")
-               .repartition("label", "i", "j").sortWithinPartitions("label", "i", "j"))
-    pairs = placed.where("size = 2 AND node != label").select(F.col("label").alias("a"),
-                                                              F.col("node").alias("b"))
-    return squares.mapInArrow(partial(_squares, percent=percent), "a long, b long").unionByName(pairs)
+    def square():
+        nodes, copies, blocks, sets = held
+        first = np.array(blocks) == at[1]
+        rows = np.flatnonzero(first)
+        return (np.array(nodes, np.int64), np.array(copies, np.int64), rows,
+                rows if at[1] == at[2] else np.flatnonzero(~first), sets)
+
+    for batch in batches:
+        items = batch.column("items")
+        columns = [batch.column(c).to_pylist() for c in ("label", "i", "j", "node", "copies", "block")]
+        for k, (label, i, j, *row) in enumerate(zip(*columns)):
+            if (label, i, j) != at and held[0]:
+                yield square()
+                held = ([], [], [], [])
+            at = (label, i, j)
+            for part, value in zip(held, (*row, items[k].values.to_numpy().copy())):
+                part.append(value)
+    if held[0]:
+        yield square()
+
+
+def _linked(rows, columns, sets, percent: int) -> np.ndarray:
+    """Which pairs are linked; a set is not linked with itself."""
+    common = shared_items(sets, rows, columns)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    linked = 100 * common >= percent * (sizes[rows][:, None] + sizes[columns] - common)
+    return linked & (rows[:, None] != columns)
+
+
+def _degrees(batches, percent: int):
+    """``(node, met)``: rows of linked sets, per node and square."""
+    for nodes, copies, rows, columns, sets in _each_square(batches):
+        linked = _linked(rows, columns, sets, percent)
+        met = np.zeros(len(nodes), np.int64)
+        met[rows] += linked @ copies[columns]
+        if columns is not rows:
+            met[columns] += linked.T @ copies[rows]
+        has = np.flatnonzero(met)
+        if len(has):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[has]), pa.array(met[has])], ["node", "met"])
+
+
+def _pairs(batches, percent: int):
+    """``(x, y)`` of the linked pairs, once each."""
+    for nodes, _, rows, columns, sets in _each_square(batches):
+        linked = _linked(rows, columns, sets, percent)
+        x, y = np.nonzero(np.triu(linked) if columns is rows else linked)
+        if len(x):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[rows[x]]), pa.array(nodes[columns[y]])], ["x", "y"])
