@@ -29,6 +29,7 @@ so bins that differ too much prove a pair to be far. Only the rest fetches whole
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 import numpy as np
@@ -92,8 +93,7 @@ class _Join:
             F.min("id").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies")))
         rank = _rank_of_buckets(self.profile)
         self.members = _shared_prefixes(self.docs, words, percent, rank, self.work)
-        self.sets = self.work.keep("sets", self._whole_sets())
-        self.labels = _join_regions(self.profile, self.members, self.sets, percent, self.work)
+        self.labels = _join_regions(self)
 
     def rows(self, degrees: bool = False) -> DataFrame:
         label = F.coalesce("label", "node").alias("label")
@@ -102,7 +102,7 @@ class _Join:
         named = named.join(groups, "label").select("node", "component_id", "copies")
         more = []
         if degrees:
-            met = (_component_squares(self.labels, self.classes, self.sets).mapInArrow(partial(_degrees, percent=self.percent), "node long, met long")
+            met = (self._squares().mapInArrow(partial(_degrees, percent=self.percent), "node long, met long")
                    .groupBy("node").agg(F.sum("met").alias("met")))
             named = named.join(met, "node", "left").withColumn(
                 "n_links", F.col("copies") - 1 + F.coalesce("met", F.lit(0)))
@@ -115,22 +115,45 @@ class _Join:
             F.col("id").alias(self.id_col), F.col("n").cast("long").alias("n_shingles"), "component_id", *more)
 
     def links(self) -> DataFrame:
-        found = _component_squares(self.labels, self.classes, self.sets).mapInArrow(partial(_pairs, percent=self.percent), "x long, y long")
+        found = self._squares().mapInArrow(partial(_pairs, percent=self.percent), "x long, y long")
         first, second = (self.classes.select(F.col("node").alias(x), F.col("least").alias(name))
                          for x, name in (("x", "p"), ("y", "q")))
         return (found.join(first, "x").join(second, "y").where("p IS NOT NULL AND q IS NOT NULL")
                 .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
 
-    def _whole_sets(self) -> DataFrame:
-        """``(node, items)`` of all members of regions, from the rows that have the smallest id of their set."""
-        wanted = self.members.select("node").distinct().join(self.classes, "node")
-        wanted = self.work.keep("wanted", wanted.select("node", "least"))
+    def _squares(self) -> DataFrame:
+        several = self.labels.groupBy("label").agg(F.count("*").alias("size")).where("size > 1").select("label")
+        linked = self.labels.join(several, "label").select("node", "label")
+        return _component_squares(linked, self.classes, self.sets_of(linked, f"linked-{uuid.uuid4().hex[:8]}"))
+
+    def sets_of(self, nodes: DataFrame, name: str) -> DataFrame:
+        """``(node, items)`` of the given sets, from the rows that have the smallest id of each: a stored table."""
+        wanted = self.work.keep(f"{name}-wanted", nodes.select("node").distinct().join(
+            self.classes.select("node", "least"), "node"))
         ids = wanted.select(F.col("least").alias("own")).distinct()
         if ids.count() <= BROADCAST_ROWS:
             ids = F.broadcast(ids)
         whole = self.docs.join(ids, self.docs.id.eqNullSafe(ids.own), "left_semi").select("text").mapInArrow(
             partial(_sets, words=self.words), "node long, items array<bigint>")
-        return whole.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        found = whole.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        return self.work.keep(f"{name}-sets", found)
+
+    def close(self, pairs: DataFrame, bins: DataFrame, window: int, name: str) -> DataFrame:
+        """The pairs ``(x, y)`` of similarity ``window`` and more, with sizes and what they have in common.
+
+        Bins rule most pairs out; only the sets of the others are looked up.
+        """
+        sized = F.greatest("n", "m") * window <= F.least("n", "m") * 100
+        maybe = self.work.keep(f"{name}-maybe", pairs.join(bins.toDF("x", "n", "a"), "x")
+                               .join(bins.toDF("y", "m", "b"), "y").where(sized)
+                               .select("x", "y", "n", "m", "a", "b")
+                               .mapInArrow(partial(_may_be_near, window=window), "x long, y long, n int, m int"))
+        sets = self.sets_of(maybe.select(F.col("x").alias("node")).unionByName(
+            maybe.select(F.col("y").alias("node"))), name)
+        found = self.work.keep(name, maybe.join(sets.toDF("x", "a"), "x").join(sets.toDF("y", "b"), "y").select(
+            "x", "y", "n", "m", F.size(F.array_intersect("a", "b")).alias("common")).where(_near(window)))
+        self.work.drop(f"{name}-maybe", f"{name}-sets", f"{name}-wanted")
+        return found
 
 
 # --- sets and the order of shingles -------------------------------------------------------------
@@ -306,24 +329,13 @@ def _near(window: int) -> Column:
     return 100 * F.col("common") >= window * (F.col("n") + F.col("m") - F.col("common"))
 
 
-def _close(pairs: DataFrame, bins: DataFrame, sets: DataFrame, window: int) -> DataFrame:
-    """The pairs ``(x, y)`` of similarity ``window`` and more, with sizes and what they have in common."""
-    sized = F.greatest("n", "m") * window <= F.least("n", "m") * 100
-    maybe = (pairs.join(bins.toDF("x", "n", "a"), "x").join(bins.toDF("y", "m", "b"), "y").where(sized)
-             .select("x", "y", "n", "m", "a", "b")
-             .mapInArrow(partial(_may_be_near, window=window), "x long, y long, n int, m int"))
-    return (maybe.join(sets.toDF("x", "a"), "x").join(sets.toDF("y", "b"), "y")
-            .select("x", "y", "n", "m", F.size(F.array_intersect("a", "b")).alias("common")).where(_near(window)))
-
-
-def _join_regions(profile: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
-                  work: Workspace) -> DataFrame:
+def _join_regions(join: _Join) -> DataFrame:
     """``(node, label)`` of all sets that share a region with another one."""
-    wide = 2 * percent - 100
-    labels = work.keep("labels-0", members.select("node").distinct().withColumn("label", F.col("node")))
-    bins = work.keep("bins", profile.where("n > 0").select("node", "n", "bins")
+    work, percent, wide = join.work, join.percent, 2 * join.percent - 100
+    labels = work.keep("labels-0", join.members.select("node").distinct().withColumn("label", F.col("node")))
+    bins = work.keep("bins", join.profile.where("n > 0").select("node", "n", "bins")
                      .join(labels.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    rows = members.withColumn("label", F.col("node"))
+    rows = join.members.withColumn("label", F.col("node"))
     for turn in range(ROUNDS):
         if rows.isEmpty():
             return labels
@@ -334,7 +346,7 @@ def _join_regions(profile: DataFrame, members: DataFrame, sets: DataFrame, perce
         sized = (F.greatest("n", "m") * wide <= F.least("n", "m") * 100) & F.expr("node != pivot")
         pairs = rows.join(chosen, "bucket").where(sized).select(
             F.col("node").alias("x"), F.col("pivot").alias("y")).distinct()
-        close = work.keep(f"close-{turn}", _close(pairs, bins, sets, wide))
+        close = join.close(pairs, bins, wide, f"close-{turn}")
         linked = close.where(_near(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
         labels, merged = merged_labels(labels, linked, work, f"{turn + 1}")
 
@@ -351,9 +363,10 @@ def _join_regions(profile: DataFrame, members: DataFrame, sets: DataFrame, perce
     if rows.isEmpty():
         return labels
     few, many = undecided(rows, labels, bins.select("node", "n"), work)
-    few = _close(few.toDF("x", "y"), bins, sets, percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    links = work.keep("links-few", few).unionByName(
-        work.keep("links-many", linked_between(many, sets, percent)))
+    few = join.close(few.toDF("x", "y"), bins, percent, "few").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    sets = join.sets_of(many, "many")
+    links = few.unionByName(work.keep("links-many", linked_between(many, sets, percent)))
+    work.drop("many-sets", "many-wanted")
     return merged_labels(labels, links, work, "last")[0]
 
 
