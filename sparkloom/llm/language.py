@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from functools import partial
 from typing import NamedTuple
 
@@ -89,24 +91,41 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(examples: list[tuple[str, str]], idf: np.ndarray, epochs: int = 4, alpha: float = 2.0,
+def _examples(batches):
+    """``(lang, mark, buckets, counts)``: the grams of each text and of one piece of it, as numbers only."""
+    for batch in batches:
+        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+        pieces = []
+        for text in texts:
+            at = zlib.crc32(text.encode()) % max(1, len(text) - SNIPPET)
+            pieces += [text, text[at:at + SNIPPET]]
+        marks, buckets, counts = [], [], []
+        for piece, grams in zip(pieces, _grams(pieces)):
+            have, n = np.unique(grams, return_counts=True)
+            marks.append(hashlib.md5(piece.encode()).digest())
+            buckets.append(have.astype(np.int32).tobytes())
+            counts.append(n.astype(np.int32).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang for lang in langs for _ in range(2)]),
+             pa.array([m for m in marks[::2] for _ in range(2)], pa.binary()), pa.array([0, 1] * len(langs), pa.int32()),
+             pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
+            ["lang", "mark", "piece", "buckets", "counts"])
+
+
+def train(examples: list[tuple[str, bytes, bytes]], idf: np.ndarray, epochs: int = 4, alpha: float = 2.0,
           beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, seed: int = 3) -> Model:
     """Fit by follow-the-regularised-leader with elastic-net penalties, then fit the temperature.
 
-    Every fifth text is kept from training; the temperature minimises their log loss.
+    Examples are language, buckets and counts, a text and its piece after each other. Every fifth text is kept
+    from training; the temperature minimises their log loss.
     """
     rng = np.random.default_rng(seed)
-    languages = sorted({lang for _, lang in examples})
-    texts, labels = [], []
-    for text, lang in examples:
-        at = int(rng.integers(0, max(1, len(text) - SNIPPET)))
-        texts += [text, text[at:at + SNIPPET]]
-        labels += [languages.index(lang)] * 2
-    rows = []
-    for grams in _grams(texts):
-        x = _vector(grams, idf)
-        at = np.flatnonzero(x)
-        rows.append((at, x[at]))
+    languages = sorted({lang for lang, _, _ in examples})
+    labels, rows = [languages.index(lang) for lang, _, _ in examples], []
+    for _, buckets, counts in examples:
+        at = np.frombuffer(buckets, np.int32)
+        x = np.frombuffer(counts, np.int32) * idf[at]
+        rows.append((at, x / (np.sqrt(x @ x) or 1.0)))
     held = (np.arange(len(rows)) // 2) % 5 == 4
     z, n = np.zeros((BUCKETS, len(languages))), np.zeros((BUCKETS, len(languages)))
 
@@ -158,7 +177,8 @@ def fit_language(docs: DataFrame, learn: Column, per_language: int = 400, text_c
     """A model from the rows where ``learn`` holds and text and language are known.
 
     Inverse document frequencies count all those rows. The regression is fitted on ``per_language``
-    texts of each language, those whose ids hash lowest; the driver holds that sample only.
+    texts of each language, those whose ids hash lowest; the driver holds their hashed counts only, at most one
+    per bucket however long a text is. An id that repeats is chosen once, with its smallest text of that language.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.col(lang_col).alias("lang")).where(learn).where(
@@ -169,14 +189,18 @@ def fit_language(docs: DataFrame, learn: Column, per_language: int = 400, text_c
     total, idf = have.pop(-1, 0), np.full(BUCKETS, 0.0)
     for bucket, n in have.items():
         idf[bucket] = np.log((1 + total) / (1 + n)) + 0.1
-    chosen = rows.select("id", "lang").withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
+    chosen = rows.select("id", "lang").distinct().withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(SLICES)))
     for keys in (["lang", "slice"], ["lang"]):    # a frequent language is spread over tasks first
         lowest = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
         chosen = (chosen.withColumn("turn", F.row_number().over(lowest))
                   .where(F.col("turn") <= per_language).drop("turn"))
     chosen = chosen.select("id", "lang")
-    sample = rows.join(F.broadcast(chosen), ["id", "lang"]).select("text", "lang").collect()
-    examples = sorted((r["text"], r["lang"]) for r in sample)
+    # An id that repeats gives one text, the smallest: no more rows than ids are chosen, whatever repeats.
+    sample = rows.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
+    found = sample.select("lang", "text").mapInArrow(
+        _examples, "lang string, mark binary, piece int, buckets binary, counts binary").collect()
+    examples = [(r["lang"], bytes(r["buckets"]), bytes(r["counts"]))
+                for r in sorted(found, key=lambda r: (r["lang"], bytes(r["mark"]), r["piece"]))]
     return train(examples, idf) if examples else Model([], np.zeros((BUCKETS, 0)), idf, 1.0)
 
 
