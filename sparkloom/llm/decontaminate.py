@@ -2,13 +2,14 @@
 
 A fingerprint is the least hash of ``K``-word runs in each sliding window of ``SPAN`` such runs. Any
 shared span of ``K + SPAN - 1`` = 13 words has one whole window in common and so a fingerprint: no such
-span is missed. Documents and items are joined on fingerprints; each hit is extended along its
-diagonal by comparing the words themselves.
+span is missed. Documents and items are joined on fingerprints; each hit is extended to its whole
+window, whose words must be the same, under 128 bits of hash. Positions of items are not joined, so a
+text of one word over and over has as many hits as words, and no pairs of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WINDOW, K, SPAN = 13, 8, 6
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,17 +40,48 @@ def _with_runs(df: DataFrame) -> DataFrame:
     return df
 
 
-def _fingerprints(df: DataFrame) -> DataFrame:
-    """Add ``print``, a row for every distinct least hash; ``words`` and ``g8`` go."""
+def _with_least(df: DataFrame) -> DataFrame:
+    """Add ``m6``: at every word the least hash of the 6 runs from there on; ``words`` goes."""
     least = lambda a, b: F.least(a, b)
     df = _with_runs(df).drop("words")
     df = df.withColumn("m2", F.zip_with("g8", _ahead("g8", 1), least)).drop("g8")
     df = df.withColumn("m4", F.zip_with("m2", _ahead("m2", 2), least))
-    df = df.withColumn("m6", F.zip_with("m4", _ahead("m2", 4), least))
-    kept = [c for c in df.columns if c not in ("m2", "m4", "m6")]
+    return df.withColumn("m6", F.zip_with("m4", _ahead("m2", 4), least)).drop("m2", "m4")
+
+
+def _fingerprints(df: DataFrame) -> DataFrame:
+    """Add ``print``, a row for every distinct least hash; ``words`` goes."""
+    df = _with_least(df)
+    kept = [c for c in df.columns if c != "m6"]
     return df.select(*kept, F.explode(F.array_distinct("m6")).alias("print"))
 
 
+def _windows(df: DataFrame) -> DataFrame:
+    """A row for every whole window: ``at``, its fingerprint ``print``, and ``p``, ``q`` for its words.
+
+    The two are the hashes of its first and its last 8 words as they stand in ``exact``.
+    """
+    kept = [c for c in df.columns if c not in ("words", "exact")]
+    df = _with_least(df.withColumn("n_here", F.size("exact")))
+    df = _with_runs(df.withColumnRenamed("exact", "words")).drop("words")
+    all_of = F.arrays_zip(F.col("m6").alias("print"), F.col("g8").alias("p"), _ahead("g8", WINDOW - K).alias("q"))
+    return (df.select(*kept, "n_here", F.posexplode(all_of).alias("at", "w"))
+            .where(F.col("at") + WINDOW <= F.col("n_here")).select(*kept, "at", "w.*"))
+
+
+def _short_windows(df: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same for runs of as many words as a short item has: ``at``, ``size``, ``p`` and ``q``."""
+    def runs(n: int) -> Column:
+        text = lambda i: F.array_join(F.slice("exact", i, n), " ")
+        return F.transform(F.sequence(F.lit(1), F.size("exact") - n + 1), lambda i: F.struct(
+            (i - 1).alias("at"), F.lit(n).alias("size"), F.xxhash64(F.lit(n), text(i)).alias("p"),
+            F.xxhash64(text(i), F.lit(~n)).alias("q")))
+    kept = [c for c in df.columns if c not in ("words", "exact")]
+    none = F.array().cast("array<struct<at:int,size:int,p:bigint,q:bigint>>")
+    parts = [F.when(F.size("exact") >= n, runs(n)).otherwise(none) for n in sizes]
+    return df.select(*kept, F.inline(F.concat(*parts)))
+
+
 def _short_runs(df: DataFrame, sizes: list[int]) -> DataFrame:
     """A row for every distinct run of as many words as a short item has."""
     runs = [F.transform(F.sequence(F.lit(1), F.size("words") - n + 1),
@@ -70,7 +102,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     consecutive words of an item, or all words of a shorter one. A document word inside any occurrence
     of a window is hit; ``n_items`` items have occurring windows. Contaminated: n_hit > 0 and
     20 * n_hit >= n_words. Null and empty texts have no words and are clean; items without words have
-    no window; an empty benchmark leaves all clean. Items with equal words are compared once.
+    no window; an empty benchmark leaves all clean. Items with equal words are compared once. Texts of any length
+    are taken whole, in time that grows with their words.
     ``row_key`` is a hash of id and text: equal rows share it and get equal results.
     """
     lower = lambda c: F.translate(c, _UPPER, _LOWER)
@@ -101,42 +134,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 .select("row_key", split_words(_fold(F.col("text"))).alias("words"),
                         split_words(lower(F.col("text"))).alias("exact")))
 
-    # Hits on the diagonal ``at - item_at``; then the words decide.
-    at_item = _with_runs(long_items.select("item", "words")).select(
-        "item", F.posexplode("g8").alias("item_at", "print"))
-    at_item = at_item.join(small(prints, n_words_in), "print", "left_semi")
-    hits = (_with_runs(suspects.select("row_key", "words"))
-            .select("row_key", F.posexplode("g8").alias("at", "print"))
-            .join(small(at_item, n_words_in), "print")
-            .select("row_key", "item", (F.col("at") - F.col("item_at")).alias("shift")))
+    # Windows of suspects that an item has too, by fingerprint and then by their words.
+    of_items = _windows(long_items.select("item", "words", "exact")).select("item", "print", "p", "q").distinct()
+    hits = (_windows(suspects).join(small(of_items, n_words_in), ["print", "p", "q"])
+            .select("row_key", "item", "at", F.lit(WINDOW).alias("size")))
     if sizes:
-        one = short.select("item", F.size("exact").alias("size"), F.col("exact").alias("own"),
-                           F.element_at("exact", 1).alias("word"))
-        hits = hits.unionByName(
-            suspects.select("row_key", F.posexplode("exact").alias("at", "word"), "exact")
-            .join(small(one, n_words_in), "word")
-            .where(F.expr("slice(exact, at + 1, size) = own"))
-            .select("row_key", "item", F.col("at").alias("shift")))
-    pairs = (hits.distinct().join(suspects.select("row_key", "exact"), "row_key")
-             .join(small(texts.select("item", F.col("exact").alias("own")), n_words_in), "item"))
-    begin = F.greatest("shift", F.lit(0))
-    until = F.least(F.size("exact"), F.col("shift") + F.size("own"))
-    pairs = (pairs.select("row_key", "item", begin.alias("begin"), (until - begin).alias("length"),
-                          F.least(F.size("own"), F.lit(WINDOW)).alias("window"), "shift", "exact",
-                          "own").where("length >= window"))
-    same = F.zip_with(F.slice("exact", F.col("begin") + 1, F.col("length")),
-                      F.slice("own", F.col("begin") - F.col("shift") + 1, F.col("length")),
-                      lambda a, b: F.when(a == b, "1").otherwise("0"))
-    marks = (pairs.select("row_key", "item", "begin", "window", "length",
-                          F.array_join(same, "").alias("same"))
-             .where(F.instr("same", F.repeat(F.lit("1"), F.col("window"))) > 0))
-    starts = marks.select("row_key", "item", "begin", "window", F.explode(F.expr(
-        "filter(sequence(0, length - window), p -> substring(same, p + 1, window) = repeat('1', window))"
-    )).alias("p"))
-    hit_words = (starts.select("row_key", F.explode(F.expr(
-        "sequence(begin + p, begin + p + window - 1)")).alias("at")).distinct()
-        .groupBy("row_key").agg(F.count("*").alias("n_hit")))
-    names = (marks.select("row_key", "item").distinct()
+        own = _short_windows(short.select("item", "exact", F.size("exact").alias("own")), sizes)
+        own = own.where("size = own").select("item", "size", "p", "q").distinct()
+        hits = hits.unionByName(_short_windows(suspects.select("row_key", "exact"), sizes)
+                                .join(small(own, n_words_in), ["size", "p", "q"]).select("row_key", "item", "at", "size"))
+    begins = hits.groupBy("row_key", "at").agg(F.max("size").alias("size"))
+    before = Window.partitionBy("row_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.max(F.col("at") + F.col("size")).over(before), F.lit(0))
+    fresh = F.greatest(F.col("at") + F.col("size") - F.greatest("at", upto), F.lit(0))
+    hit_words = begins.select("row_key", fresh.alias("fresh")).groupBy("row_key").agg(F.sum("fresh").alias("n_hit"))
+    names = (hits.select("row_key", "item").distinct()
              .join(small(items.select("item", "item_id"), n_words_in), "item")
              .groupBy("row_key").agg(
                  F.count("item_id").alias("n_items"),
