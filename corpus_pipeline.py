@@ -21,7 +21,11 @@ LEAST_SCORE = 0.3     # just above chance with four languages: below it, the mod
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those whose language the model can't tell."""
+    """Drop documents without a letter (null and empty ones too) and those whose language the model can't tell.
+
+    Without a text of known language to learn from nothing can be told, and nothing stays. Repeated rows are
+    judged alike; columns named like the prediction's are kept as they were.
+    """
     text_session(spark)
     model = fit_language(docs, ~held_out("id"))
     return predict_language(docs, model).where(
@@ -31,17 +35,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of linked documents.
 
-    Rows without an id are named by their text, behind all ids; of rows that share a name one stays.
+    Rows without an id come behind all ids; of rows that repeat id and text one stays. Different texts that
+    share an id are different documents. Null, empty and blank texts are in no group and stay.
     """
     text_session(spark)
-    name = F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 2) + (1 << 62))
-    named = docs.withColumn("__name", name)
+    order = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("~"))
+    named = docs.withColumn("__name", F.concat(order, F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
     leaders = jaccard_components(named, id_col="__name").where("__name = component_id").select("__name").distinct()
     return named.join(leaders, "__name", "left_semi").dropDuplicates(["__name"]).select(docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop contaminated documents."""
+    """Drop contaminated documents. Null and empty texts are clean; repeated rows are judged alike."""
     found = contamination(docs, read_table(text_session(spark), sf_dir, "benchmark"))
     bad = found.where("contaminated").select("row_key").distinct()
     return (docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
@@ -49,13 +54,16 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep four fifths of all tokens, by the weights of the tree, each document once at most."""
+    """Keep four fifths of all tokens, by the weights of the tree, each document once at most.
+
+    A null language or source is a value of its own; documents without words are no tokens and go.
+    """
     text_session(spark)
     return mix_sources(docs, mix_tree(), MIX_WEIGHTS, token_count(), share=(4, 5)).select(docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal the documents over eight shards, with their place in it."""
+    """Deal the documents over eight shards, with their place in it: all of them, null texts and repeats too."""
     return uniform_shards(docs, shards=8)
 
 
