@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 
 from sparkloom.functions.time import duration_micros
 from sparkloom.operators.reduce import Accumulator, folded
+from sparkloom.streaming.blocks import ROWS, Blocks, slot_of
+
+SLOTS = 128           # of the keys of a window
 
 
 class _Folding(StatefulProcessor):
@@ -31,7 +34,11 @@ class _Folding(StatefulProcessor):
 
 
 class WindowAccumulator(_Folding):
-    """Merges until the watermark passes the end of the window, then gives the result once."""
+    """Merges until the watermark passes the end of the window, then gives the results once.
+
+    A group is a window of a slot of keys. New accumulators are put behind the totals and merged into
+    them when there are more of them than totals, so a micro-batch does not read the group.
+    """
 
     def __init__(self, acc: Accumulator, names: list[str], length_ms: int):
         super().__init__(acc, names)
@@ -39,31 +46,46 @@ class WindowAccumulator(_Folding):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("acc", "acc BINARY")
+        self.totals, self.parts = Blocks(handle, "totals"), Blocks(handle, "parts")
+        self.sizes = handle.getValueState("sizes", "totals BIGINT, parts BIGINT")
+
+    def _held(self) -> dict:
+        held = dict(self.totals.read())
+        for key, part in self.parts.read():
+            total = held[key] if key in held else self.acc.create()
+            held[key] = self.acc.merge(total, pickle.loads(part))
+        return held
 
     def handleInputRows(self, key, rows, timerValues):
         end = int(key[-1]) // 1000 + self.length_ms
         if end > timerValues.getCurrentWatermarkInMs():      # else the window has closed: too late
-            known = self.state.exists()
-            total = pickle.loads(self.state.get()[0]) if known else self.acc.create()
-            self.state.update((pickle.dumps(self.merged(total, rows)),))
+            known = self.sizes.exists()
+            totals, parts = tuple(self.sizes.get()) if known else (0, 0)
+            parts += self.parts.add((tuple(row)[1:-2], row["__acc"]) for row in rows)
+            if parts > max(totals, ROWS):
+                totals, parts = self.totals.replace(self._held().items()), self.parts.replace(())
+            self.sizes.update((totals, parts))
             if not known:
                 self.handle.registerTimer(end)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            total = pickle.loads(self.state.get()[0])
-            self.state.clear()
-            yield Row(*self.names)(*key, *self.acc.result(total))
+        if self.sizes.exists():
+            out = Row(*self.names)
+            for one, total in self._held().items():
+                yield out(*one, key[-1], *self.acc.result(total))
+            for state in (self.totals.state, self.parts.state, self.sizes):
+                state.clear()
 
 
 def accumulate_windows(df: DataFrame, time: str, length: str, keys: Sequence[str],
-                       values: Sequence[str], acc: Accumulator, schema: str) -> DataFrame:
+                       values: Sequence[str], acc: Accumulator, schema: str, *,
+                       slots: int = SLOTS) -> DataFrame:
     """One row per key and closed window of a watermarked stream, by an accumulator of the user.
 
     ``time`` is TIMESTAMP and windows are whole milliseconds long. Rows of a window that has closed
-    are dropped, as by the built-in aggregates. Output: keys, ``window_start``, ``window_end``, then
+    are dropped, as by the built-in aggregates. The keys of a window are dealt over ``slots`` groups,
+    each of which a task holds when it closes. Output: keys, ``window_start``, ``window_end``, then
     the columns of ``schema``.
     """
     length_us = duration_micros(length)
@@ -72,7 +94,8 @@ def accumulate_windows(df: DataFrame, time: str, length: str, keys: Sequence[str
     partial = folded(df, by, values, acc)
     names = partial.columns[:-1]
     out = _schema(df, names, schema)
-    found = partial.groupBy(*names).transformWithState(
+    found = partial.select(slot_of(names[:-1], slots).alias("__slot"), "*").groupBy(
+        "__slot", names[-1]).transformWithState(
         statefulProcessor=WindowAccumulator(acc, out.names, length_us // 1000), outputStructType=out,
         outputMode="append", timeMode="EventTime")
     at = F.col(names[-1]).cast("long")
