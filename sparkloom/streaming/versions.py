@@ -7,58 +7,66 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from sparkloom.streaming.blocks import ROWS, Alarm, Blocks, plain_key, slot_of
+
+SLOTS = 512
 
 
 class AsOf(StatefulProcessor):
-    """Versions by the time they begin, and the events that wait for the watermark.
+    """Versions by the time they begin, and the events that wait for the watermark, of many keys.
 
-    When the watermark has passed an event, all versions up to it are known. Events wait in a list
-    and are looked at once per micro-batch of theirs; of the versions behind the watermark only the
-    newest is kept.
+    When the watermark has passed an event, all versions up to it are known. A timer stands at the
+    earliest event that waits; then the group is read as a whole, and of the versions behind the
+    watermark only the newest of a key is kept.
     """
 
-    def __init__(self, event: StructType, version: StructType, names: list[str]):
-        self.event, self.version, self.names = event, version, names
+    def __init__(self, keys: list[str], event: StructType, version: StructType, names: list[str]):
+        self.keys, self.event, self.version, self.names = keys, event, version, names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        at = StructField("at", LongType())
-        self.handle = handle
-        self.versions = handle.getMapState("versions", StructType([at]), self.version)
-        self.held = handle.getListState("held", StructType([at, *self.event.fields]))
+        self.versions, self.held = Blocks(handle, "versions"), Blocks(handle, "held")
+        self.alarm = Alarm(handle)
 
     def handleInputRows(self, key, rows, timerValues):
         watermark = timerValues.getCurrentWatermarkInMs()
-        waiting, last = [], watermark
+        ruled, waiting, first = [], [], None
         for row in rows:
+            one, at = plain_key(row[k] for k in self.keys), row["__at"]
             if row["__version"] is not None:
-                self.versions.updateValue((row["__at"],), _values(row["__version"], self.version))
-            elif row["__at"] // 1000 >= watermark:           # else it comes too late
-                waiting.append((row["__at"], *_values(row["__event"], self.event)))
-                last = max(last, row["__at"] // 1000)
-        if waiting:
-            self.held.appendList(waiting)
-            self.handle.registerTimer(last + 1)
+                ruled.append((one, at, _values(row["__version"], self.version)))
+            elif at // 1000 >= watermark:                    # else it comes too late
+                waiting.append((one, at, _values(row["__event"], self.event)))
+                first = at if first is None else min(first, at)
+            for rows_, state in ((ruled, self.versions), (waiting, self.held)):
+                if len(rows_) == ROWS:
+                    state.add(rows_)
+                    rows_.clear()
+        self.versions.add(ruled)
+        self.held.add(waiting)
+        self.alarm.set(None if first is None else first // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.alarm.rung()
         watermark = timerValues.getCurrentWatermarkInMs()
-        known = sorted((k[0], tuple(v)) for k, v in self.versions.iterator())
-        begins = [at for at, _ in known]
+        known: dict = {}
+        for one, at, version in self.versions.read():
+            known.setdefault(one, {})[at] = version          # the later one to come counts
+        begins = {one: sorted(versions) for one, versions in known.items()}
         out, later = Row(*self.names), []
-        for at, *event in (self.held.get() if self.held.exists() else ()):
+        for one, at, event in self.held.read():
             if at // 1000 >= watermark:
-                later.append((at, *event))
-                continue
-            place = bisect_right(begins, at)
-            if place:
-                yield out(*event, *known[place - 1][1])
+                later.append((one, at, event))
+            elif place := bisect_right(begins.get(one, ()), at):
+                yield out(*event, *known[one][begins[one][place - 1]])
+        self.held.replace(later)
         if later:
-            self.held.put(later)                             # a later timer of theirs is set
-        else:
-            self.held.clear()
-        for at in begins[:max(0, bisect_right(begins, watermark * 1000 - 1) - 1)]:
-            self.versions.removeKey((at,))
+            self.alarm.set(min(at for _, at, _ in later) // 1000 + 1)
+        kept = {one: at[max(0, bisect_right(at, watermark * 1000 - 1) - 1):] for one, at in begins.items()}
+        if any(len(kept[one]) < len(known[one]) for one in kept):
+            self.versions.replace((one, at, known[one][at]) for one in kept for at in kept[one])
 
     def close(self) -> None:
         pass
@@ -86,21 +94,21 @@ def version_feed(events: DataFrame, versions: DataFrame, on: Mapping[str, str],
     return given.unionByName(ruled, allowMissingColumns=True)
 
 
-def as_of_versions(feed: DataFrame) -> DataFrame:
+def as_of_versions(feed: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Every event with the columns of the version that held at its time, from a marked feed.
 
     The feed of ``version_feed`` has its watermark on ``__time``. An event is given once the
     watermark has passed it. Events before the first version of their key, without a key or a time,
     or behind the watermark, are dropped; of two versions from one instant the later one to come
-    counts.
+    counts. The keys are dealt over ``slots`` groups, which a task holds one at a time.
     """
     event, version = feed.schema["__event"].dataType, feed.schema["__version"].dataType
     keys = [c for c in feed.columns if c.startswith("__k")]
     # One condition with the time in it, which stays behind the watermark: every row moves the clock.
     whole = F.when(F.col("__time").isNotNull(), F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)))
     ready = feed.where(F.coalesce(whole, F.lit(False))).select(
-        *keys, "__slot", F.unix_micros("__time").alias("__at"), "__event", "__version")
+        *keys, "__slot", slot_of(keys, slots).alias("__keys"), F.unix_micros("__time").alias("__at"), "__event", "__version")
     schema = StructType([*event.fields, *version.fields])
-    return ready.groupBy(*keys, "__slot").transformWithState(
-        statefulProcessor=AsOf(event, version, schema.names), outputStructType=schema,
+    return ready.groupBy("__keys", "__slot").transformWithState(
+        statefulProcessor=AsOf(keys, event, version, schema.names), outputStructType=schema,
         outputMode="append", timeMode="EventTime")
