@@ -16,6 +16,9 @@ from pyspark.sql.types import StructType
 
 from sparkloom.functions.time import GRAIN_PATTERNS, duration_micros, in_zone
 from sparkloom.operators.newness import FLAGS
+from sparkloom.streaming.blocks import ROWS, Alarm, Blocks, plain_key, slot_of
+
+SLOTS = 512
 
 def _ddl(df: DataFrame, columns: Sequence[str]) -> list:
     return [df.schema[c] for c in columns]
@@ -186,51 +189,69 @@ def tag_late(df: DataFrame, time: str, length: str, lateness: str = "0 seconds",
 
 
 class ReviewTimer(StatefulProcessor):
-    """A map of what is known of an order, ``order`` to its due time and ``review`` to its time,
-    and a timer that asks whether the review came in time."""
+    """What is known of many orders, the due time of the order and the time of its review, and a
+    timer at the earliest due time, which asks whether the reviews came in time."""
 
     def __init__(self, wait_ms: int, names: list[str], event_time: bool):
         self.wait_ms, self.names, self.event_time = wait_ms, names, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.known = handle.getMapState("known", "kind STRING", "at BIGINT")
+        self.known, self.alarm = Blocks(handle, "known"), Alarm(handle)
+
+    def _now(self, timerValues) -> int:
+        return (timerValues.getCurrentWatermarkInMs() if self.event_time
+                else timerValues.getCurrentProcessingTimeInMs())
 
     def handleInputRows(self, key, rows, timerValues):
-        now = (timerValues.getCurrentWatermarkInMs() if self.event_time
-               else timerValues.getCurrentProcessingTimeInMs())
+        now, new, first = self._now(timerValues), [], None
         for row in rows:
+            if row["kind"] not in ("order", "review"):
+                continue
             at = int(row["at_ms"])
+            # A review has a due time too, to be forgotten if its order never shows up.
             due = max(at + self.wait_ms, now + 1)
-            self.known.updateValue((row["kind"],), (due if row["kind"] == "order" else at,))
-            # A review has a timer too, which forgets it if its order never shows up.
-            self.handle.registerTimer(due)
+            first = due if first is None else min(first, due)
+            new.append((plain_key((row["user_id"], row["order_id"])), row["kind"], at, due))
+            if len(new) == ROWS:
+                self.known.add(new)
+                new.clear()
+        self.known.add(new)
+        self.alarm.set(first)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        due, review = self.known.getValue(("order",)), self.known.getValue(("review",))
-        if due and due[0] <= fired:
-            status = "reviewed" if review and review[0] <= due[0] else "auto"
-            self.known.clear()
-            yield Row(*self.names)(*key, status)
-        elif review and not due and review[0] + self.wait_ms <= fired:
-            self.known.clear()
+        self.alarm.rung()
+        reached = max(expiredTimerInfo.getExpiryTimeInMs(), self._now(timerValues) - 1)
+        known: dict = {}
+        for one, *rest in self.known.read():
+            known.setdefault(one, {})[rest[0]] = rest
+        out, later = Row(*self.names), []
+        for one, kinds in known.items():
+            _, review, forget = kinds.get("review", (None, None, None))
+            due = kinds["order"][2] if "order" in kinds else forget
+            if due > reached:
+                later.append((one, kinds, due))
+            elif "order" in kinds:
+                yield out(*one, "reviewed" if review is not None and review <= due else "auto")
+        self.known.replace((one, *rest) for one, kinds, _ in later for rest in kinds.values())
+        self.alarm.set(min((due for _, _, due in later), default=None))
 
     def close(self) -> None:
         pass
 
 
-def review_timers(df: DataFrame, wait: str, *, event_time: bool = True) -> DataFrame:
+def review_timers(df: DataFrame, wait: str, *, event_time: bool = True,
+                  slots: int = SLOTS) -> DataFrame:
     """Orders and reviews in one stream to one row per order once its wait is over.
 
     Input columns: ``user_id``, ``order_id``, ``kind`` (``order`` or ``review``) and ``ts``,
-    watermarked when ``event_time``; else the clock decides. State is kept per order and not per
-    user, so a busy user is no bottleneck and a timer looks at one order only.
+    watermarked when ``event_time``; else the clock decides. Orders are dealt over ``slots`` groups by
+    user and number, so a busy user is no bottleneck; a timer looks at what waits in one group.
     """
     ready = df.select("user_id", "order_id", "kind", "ts", F.unix_millis("ts").alias("at_ms"))
     schema = StructType(_ddl(df, ["user_id", "order_id"])).add("status", "string")
     processor = ReviewTimer(duration_micros(wait) // 1000, schema.names, event_time)
-    return ready.groupBy("user_id", "order_id").transformWithState(
+    slot = slot_of(["user_id", "order_id"], slots).alias("__slot")
+    return ready.select(slot, "*").groupBy("__slot").transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append",
         timeMode="EventTime" if event_time else "ProcessingTime")

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.streaming import accumulate
+from sparkloom.streaming import accumulate, stateful
 from sparkloom.streaming.accumulate import accumulate_windows
 from sparkloom.streaming.runtime import to_batches
+from sparkloom.streaming.versions import as_of_versions, version_feed
 from tests.conftest import rows
 from tests.test_state_queries import ADD, broken
 from tests.test_streaming import pieces
@@ -39,3 +40,28 @@ def test_accumulators_are_merged_into_totals(spark, folder, monkeypatch, size):
                              ADD, "v BIGINT", slots=1)
     assert rows(broken(spark, out, folder, 2), "u", "v") == sorted(
         [("a", 85), ("b", 34), ("c", 8), (None, 5)], key=repr)
+
+
+def test_versions_of_many_keys_share_groups(spark, folder):
+    events, given = pieces(spark, folder, [[(f"u{i}", i, 50) for i in range(KEYS)], [("none", 0, 999)]])
+    versions = given.where("v < 9999").selectExpr("u AS k", "timestamp_seconds(1609459200) AS from", "'old' AS name")
+    path = folder("versions")
+    versions.unionByName(versions.selectExpr("k", "timestamp_seconds(1609459240) AS from", "'new' AS name")) \
+        .where("k <> 'none'").coalesce(1).write.parquet(path)
+    feed = version_feed(events.select("u", "v", "ts"), spark.readStream.schema(versions.schema).parquet(path),
+                        {"u": "k"}, "ts", "from", ["name"])
+    out = as_of_versions(feed.withWatermark("__time", "100 seconds"))
+    got = broken(spark, out, folder, 0)
+    assert rows(got.groupBy("name").count()) == [("new", KEYS)]
+    assert state_rows(out, folder) < KEYS
+
+
+def test_reviews_of_many_orders_share_groups(spark, folder):
+    schema = "user_id STRING, order_id STRING, kind STRING, s INT"
+    first = [("u", f"o{i}", "order", i % 7) for i in range(KEYS)]
+    second = [("u", f"o{i}", "review", i % 7 + (4 if i % 2 else 6)) for i in range(KEYS)]
+    stream, _ = pieces(spark, folder, [first, second, [("v", "x", "other", 40)], [("v", "y", "order", 99)]], schema)
+    out = stateful.review_timers(stream.withWatermark("ts", "20 seconds"), "5 seconds")
+    got = broken(spark, out, folder, 1)
+    assert rows(got.groupBy("status").count()) == [("auto", KEYS // 2), ("reviewed", KEYS // 2)]
+    assert state_rows(out, folder) < KEYS
