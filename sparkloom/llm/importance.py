@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkloom.llm.measures import base_measures, tokens
 from sparkloom.llm.words import Chunk, chunks, hash_runs
+from sparkloom.session import stored
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
 LEAST_WORDS = 10
 MOST_REPEATED = 20        # percent of words in repeated windows
 SPREADS = 3.0             # how far below the trusted texts' centre a text may score
-MOST_TRUSTED = 20_000
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -30,20 +30,24 @@ def _features(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return buckets[order], np.searchsorted(text[order], np.arange(len(chunk.offsets)))
 
 
-def _count(batches, trusted: frozenset):
-    """``(bucket, raw, target)`` of one partition."""
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+def _count(batches):
+    """``(bucket, n)`` of one partition."""
+    n = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        ids = batch.column(0).to_pylist()
         for chunk in chunks(batch.column(1)):
-            buckets, first = _features(chunk)
-            raw += np.bincount(buckets, minlength=BUCKETS)
-            for i in range(len(first) - 1):
-                if ids[chunk.first + i] in trusted:
-                    target += np.bincount(buckets[first[i]:first[i + 1]], minlength=BUCKETS)
-    have = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(raw[have]), pa.array(target[have])],
-                                     ["bucket", "raw", "target"])
+            n += np.bincount(_features(chunk)[0], minlength=BUCKETS)
+    have = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(n[have])], ["bucket", "n"])
+
+
+def _counts(docs: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all texts."""
+    found = (docs.mapInArrow(_count, "bucket long, n long").groupBy("bucket")
+             .agg(F.sum("n").alias("n")).collect())              # BUCKETS rows at most
+    counts = np.zeros(BUCKETS)
+    for r in found:
+        counts[r["bucket"]] = r["n"]
+    return counts
 
 
 def _mean_ratio(chunk: Chunk, ratio: np.ndarray) -> np.ndarray:
@@ -53,12 +57,10 @@ def _mean_ratio(chunk: Chunk, ratio: np.ndarray) -> np.ndarray:
     return (sums[first[1:]] - sums[first[:-1]]) / np.maximum(n, 1)
 
 
-def _scores(batches, ratio: np.ndarray, trusted: frozenset):
+def _scores(batches, ratio: np.ndarray):
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        scores = np.concatenate([_mean_ratio(c, ratio) for c in chunks(batch.column(1))] or [[]])
-        keep = [i for i, one in enumerate(ids) if one in trusted]
-        yield pa.RecordBatch.from_arrays([pa.array(scores[keep])], ["score"])
+        for chunk in chunks(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([pa.array(_mean_ratio(chunk, ratio))], ["score"])
 
 
 def _judge(batches, ratio: np.ndarray, threshold: float):
@@ -76,31 +78,24 @@ def _judge(batches, ratio: np.ndarray, threshold: float):
 
 
 def importance_filter(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
-                      text_col: str = "text", most_trusted: int = MOST_TRUSTED) -> DataFrame:
+                      text_col: str = "text") -> DataFrame:
     """Per row: id, the base measures, ``base_failed``, ``score`` and ``kept``.
 
-    ``trusted`` has the ids of good texts; ``most_trusted`` of them, those that hash lowest, make the
-    target distribution (a documented bound: the ids go to every task). The raw distribution counts all
-    texts. The score is the mean log ratio of a text's hashed tokens and token pairs. The threshold is
+    ``trusted`` has the ids of good texts, all of which make the target distribution; they are joined
+    and stored once, as they are read twice. The raw distribution counts all texts. The score is the mean log ratio of a text's hashed tokens and token pairs. The threshold is
     fixed by the trusted texts' scores: their median less ``SPREADS`` times the distance from the
     median down to their first percentile. Without trusted ids every ratio is 0 and the base rules alone decide. Null, empty and
     blank texts have zero measures and fail the base rules. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ids = (trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-           .orderBy(F.xxhash64("id"), "id").limit(most_trusted).collect())
-    known = frozenset(r["id"] for r in ids)
-    counts = (docs.mapInArrow(partial(_count, trusted=known), "bucket long, raw long, target long")
-              .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-              .collect())                                       # BUCKETS rows at most
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts:
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    ids = trusted.select(F.col(id_col).alias("id")).distinct()
+    good = stored(docs.join(ids, "id", "left_semi"), "trusted")
+    raw, target = _counts(docs), _counts(good)
     ratio, threshold = np.zeros(BUCKETS), 0.0
     if target.any():
         ratio = (np.log((target + SMOOTHING) / (target + SMOOTHING).sum())
                  - np.log((raw + SMOOTHING) / (raw + SMOOTHING).sum()))
-        own = docs.mapInArrow(partial(_scores, ratio=ratio, trusted=known), "score double")
+        own = good.mapInArrow(partial(_scores, ratio=ratio), "score double")
         low, middle = own.agg(F.percentile_approx("score", F.array(F.lit(0.01), F.lit(0.5)), 10_000)
                               .alias("q")).first()["q"]
         threshold = middle - SPREADS * (middle - low)

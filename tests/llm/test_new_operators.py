@@ -14,6 +14,7 @@ from sparkloom.llm import blocks, tensor_dedup
 from sparkloom.llm.blocks import linked_between
 from sparkloom.llm.double_array import ROOT, DoubleArray
 from sparkloom.llm.feast import inertia_below, largest_eigenpairs
+from sparkloom.llm.importance import importance_filter
 from sparkloom.llm.jaccard_join import jaccard_components, jaccard_join
 from sparkloom.llm.language import fit_language, predict_language
 from sparkloom.llm.prefix_trie import own_turns, prefix_trie, rebuilt
@@ -322,3 +323,13 @@ def test_registered_whitening(spark):
     assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
     assert out.select("component").distinct().count() == 16
     assert out.agg(F.max("identity_error")).head()[0] < 1e-10
+
+
+# --- importance: all trusted texts ----------------------------------------------------------------
+
+def test_importance_counts_every_trusted_text(spark):
+    docs = spark.range(21_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(id, id + 11), x -> concat('w', x))) AS text")
+    out = importance_filter(docs, docs.select("doc_id"))
+    # raw and trusted texts are the same, so no word tells for or against a text
+    assert out.agg(F.max(F.abs("score"))).first()[0] < 1e-12
