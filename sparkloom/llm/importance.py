@@ -13,6 +13,7 @@ from sparkloom.llm.words import Chunk, chunks, hash_runs
 from sparkloom.session import stored
 
 BUCKETS = 1 << 16
+BITS = 1 << 26
 SMOOTHING = 1.0
 LEAST_WORDS = 10
 MOST_REPEATED = 20        # percent of words in repeated windows
@@ -50,6 +51,27 @@ def _counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def _marked(batches, words: np.ndarray):
+    """Rows whose bit is set."""
+    for batch in batches:
+        at = batch.column(2).to_numpy()
+        hit = (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        yield batch.filter(pa.array(hit.astype(bool))).select([0, 1])
+
+
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows that have one of the ids, by an exact join, to which a bitmap of ``BITS`` hashed ids
+    lets few other texts come. The hint keeps one plan at all sizes."""
+    bit = F.pmod(F.xxhash64(F.col("id").cast("long")), F.lit(BITS)).alias("bit")
+    found = (ids.where("id IS NOT NULL").select(bit).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")).toArrow())
+    words = np.zeros(BITS >> 6, np.uint64)                       # a bound: 8 MB however many ids
+    words[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    near = docs.select(F.col("id").cast("long").alias("id"), "text", bit).mapInArrow(
+        partial(_marked, words=words), "id long, text string")
+    return near.join(ids.hint("merge"), "id", "left_semi")
+
+
 def _mean_ratio(chunk: Chunk, ratio: np.ndarray) -> np.ndarray:
     buckets, first = _features(chunk)
     sums = np.concatenate(([0.0], np.cumsum(ratio[buckets])))
@@ -89,7 +111,7 @@ def importance_filter(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = trusted.select(F.col(id_col).alias("id")).distinct()
-    good = stored(docs.join(ids, "id", "left_semi"), "trusted")
+    good = stored(_with_ids(docs, ids), "trusted")
     raw, target = _counts(docs), _counts(good)
     ratio, threshold = np.zeros(BUCKETS), 0.0
     if target.any():
