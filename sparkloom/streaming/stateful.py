@@ -77,43 +77,49 @@ _VISIT_SIZE = 1 + len(GRAIN_PATTERNS)      # time and one text per grain
 
 
 class Newness(StatefulProcessor):
-    """Remembers a visit as its time and the texts of its periods."""
+    """Remembers the last visits of many keys, each as its time and the texts of its periods."""
 
-    def __init__(self, seq: str, names: list[str], remember: str):
-        self.seq, self.names, self.remember = seq, names, remember
+    def __init__(self, keys: list[str], seq: str, names: list[str], remember: str):
+        self.keys, self.seq, self.names, self.remember = keys, seq, names, remember
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        periods = ", ".join(f"{grain} STRING" for grain in GRAIN_PATTERNS)
-        self.visit = handle.getValueState("visit", f"micros BIGINT, {periods}")
+        self.visits = Blocks(handle, "visits")
 
     def handleInputRows(self, key, rows, timerValues):
-        seen = tuple(self.visit.get()) if self.visit.exists() else None
+        visits, found = dict(self.visits.read()), {}
+        for row in rows:
+            found.setdefault(plain_key(row[k] for k in self.keys), []).append(row)
         out = Row(*self.names)
-        for row in sorted(rows, key=lambda r: (r["__micros"], r[self.seq])):
-            given, now = tuple(row)[:-_VISIT_SIZE], tuple(row)[-_VISIT_SIZE:]
-            flags = [1] * _VISIT_SIZE if seen is None else [
-                0, *[int(new > old) for new, old in zip(now[1:], seen[1:])]]
-            yield out(*given, *flags)
-            seen = now if seen is None or self.remember == "last" else max(seen, now)
-        if seen is not None:
-            self.visit.update(seen)
+        for one, own in found.items():
+            seen = visits.get(one)
+            for row in sorted(own, key=lambda r: (r["__micros"], r[self.seq])):
+                given, now = tuple(row)[1:-_VISIT_SIZE], tuple(row)[-_VISIT_SIZE:]
+                flags = [1] * _VISIT_SIZE if seen is None else [
+                    0, *[int(new > old) for new, old in zip(now[1:], seen[1:])]]
+                yield out(*given, *flags)
+                seen = now if seen is None or self.remember == "last" else max(seen, now)
+            visits[one] = seen
+        self.visits.replace(visits.items())
 
     def close(self) -> None:
         pass
 
 
 def newness(df: DataFrame, keys: Sequence[str], time: str, seq: str, remember: str = "last",
-            zone: str = "UTC") -> DataFrame:
-    """Every visit with its newness flags; ``time`` is TIMESTAMP."""
+            zone: str = "UTC", *, slots: int = SLOTS) -> DataFrame:
+    """Every visit with its newness flags; ``time`` is TIMESTAMP.
+
+    Keys are dealt over ``slots`` groups; a task holds the last visits of one, and its rows of a micro-batch.
+    """
     schema = StructType(list(df.schema.fields))
     for flag in FLAGS:
         schema = schema.add(flag, "integer")
     local = in_zone(time, zone)
     ready = df.select(
-        *df.columns, F.unix_micros(time).alias("__micros"),
+        slot_of(keys, slots).alias("__slot"), *df.columns, F.unix_micros(time).alias("__micros"),
         *[F.date_format(local, pattern).alias(f"__{g}") for g, pattern in GRAIN_PATTERNS.items()])
-    processor = Newness(seq, schema.names, remember)
-    return ready.groupBy(*keys).transformWithState(
+    processor = Newness(list(keys), seq, schema.names, remember)
+    return ready.groupBy("__slot").transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="None")
 
 

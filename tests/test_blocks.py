@@ -65,3 +65,15 @@ def test_reviews_of_many_orders_share_groups(spark, folder):
     got = broken(spark, out, folder, 1)
     assert rows(got.groupBy("status").count()) == [("auto", KEYS // 2), ("reviewed", KEYS // 2)]
     assert state_rows(out, folder) < KEYS
+
+
+@pytest.mark.parametrize("remember, back", [("last", 1), ("max", 0)])
+def test_visits_of_many_keys_share_groups(spark, folder, remember, back):
+    batches = [[(None, 0, None), *[(f"u{i}", 0, 7200) for i in range(KEYS)]], [(f"u{i}", 1, 3600) for i in range(KEYS)],
+               [(f"u{i}", 2, 7201) for i in range(KEYS)]]
+    stream, _ = pieces(spark, folder, batches)
+    out = stateful.newness(stream, ["u"], "ts", "v", remember)
+    got = broken(spark, out, folder, 1)
+    assert rows(got.groupBy("v", "is_new", "is_hour_new", "is_day_new").count()) == [
+        (0, 1, 1, 1, KEYS + 1), (1, 0, 0, 0, KEYS), (2, 0, back, 0, KEYS)]
+    assert state_rows(out, folder) < KEYS
