@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sparkloom.llm.blocks import linked_between
-from sparkloom.llm.grouping import largest, merged_labels, mixed, relabelled, undecided
+from sparkloom.llm.grouping import merged_labels, mixed, relabelled, undecided
 from sparkloom.llm.words import chunks, mix, shingle_sets
 from sparkloom.llm.workspace import Workspace
 
@@ -179,10 +179,14 @@ def _pivots(rows: DataFrame, most: int, turn: int) -> DataFrame:
     if turn == 0:                  # all components are single nodes
         return rows.groupBy("bucket").agg(F.min("node").alias("pivot")).withColumn("of", F.col("pivot"))
     spread = F.xxhash64("node", F.lit(turn))
-    return (rows.join(largest(rows), "bucket").where("label = main")
-            .groupBy("bucket", F.pmod(spread, F.lit(most)).alias("slot"))
-            .agg(F.min(F.struct(spread.alias("spread"), "node", "label")).alias("p"))
-            .select("bucket", F.col("p.node").alias("pivot"), F.col("p.label").alias("of")))
+    first = [F.min(F.when(F.pmod(spread, F.lit(most)) == slot, F.struct(spread.alias("spread"), "node")))
+             .alias(f"in_{slot}") for slot in range(most)]
+    each = rows.groupBy("bucket", "label").agg(F.count("*").alias("size"), *first)
+    main = each.groupBy("bucket").agg(F.max(F.struct(
+        "size", "label", *[F.col(f"in_{slot}.node").alias(f"pivot_{slot}") for slot in range(most)])).alias("main"))
+    return main.select(
+        "bucket", F.explode(F.array(*[f"main.pivot_{slot}" for slot in range(most)])).alias("pivot"),
+        F.col("main.label").alias("of")).where("pivot IS NOT NULL")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, work: Workspace) -> DataFrame:

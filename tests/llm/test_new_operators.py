@@ -333,3 +333,22 @@ def test_importance_counts_every_trusted_text(spark):
     out = importance_filter(docs, docs.select("doc_id"))
     # raw and trusted texts are the same, so no word tells for or against a text
     assert out.agg(F.max(F.abs("score"))).first()[0] < 1e-12
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_pivots_come_from_the_largest_component_without_a_join(spark, most):
+    given = [(b, 100 * b + i, 7 if i < 6 else 8 if i < 9 else i) for b in range(40) for i in range(b + 1)]
+    frame = spark.createDataFrame(given, "bucket long, node long, label long")
+    found = tensor_dedup._pivots(frame, most, 1)
+    spread = {n: s for n, s in frame.select("node", F.xxhash64("node", F.lit(1))).collect()}
+    wanted = set()
+    for bucket in range(40):
+        own = [(n, label) for b, n, label in given if b == bucket]
+        sizes = Counter(label for _, label in own)
+        main = max(sizes, key=lambda label: (sizes[label], label))
+        slots = {}
+        for n in sorted((n for n, label in own if label == main), key=spread.get):
+            slots.setdefault(spread[n] % most, n)
+        wanted |= {(bucket, n, main) for n in slots.values()}
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
