@@ -91,7 +91,7 @@ class _Join:
         self.of_row = self.profile.where("block IS NULL").select("id", "node", "n")
         self.classes = self.work.keep("classes", self.of_row.where("n > 0").groupBy("node").agg(
             F.min("id").alias("least"), F.max("n").alias("n"), F.count("*").alias("copies")))
-        rank = _rank_of_buckets(self.profile)
+        rank = _rank_of_buckets(self.profile, self.work)
         self.members = _shared_prefixes(self.docs, words, percent, rank, self.work)
         self.labels = _join_regions(self)
 
@@ -223,21 +223,40 @@ def _add_blocks(batches):
              pa.array([c.tobytes() for c in total.values()], pa.binary())], ["block", "counts"])
 
 
-def _rank_of_buckets(profile: DataFrame) -> bytes:
+def _sums(batches):
+    for batch in batches:
+        sums = [int(np.frombuffer(counts, np.int64).sum()) for counts in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], ["total"])
+
+
+def _ranks(batches, mean: float):
+    """Per block a byte of rank for each of its buckets."""
+    usual = mean + 4 * mean ** 0.5 + 2
+    for batch in batches:
+        ranks = []
+        for part in batch.column(1).to_pylist():
+            counts = np.frombuffer(part, np.int64)
+            above = np.log2(np.maximum(counts - mean, 1)).astype(np.uint8) + 1
+            ranks.append(np.where(counts <= usual, 0, above).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ranks, pa.binary())], ["block", "ranks"])
+
+
+def _rank_of_buckets(profile: DataFrame, work: Workspace) -> bytes:
     """Per bucket a rank by its number of texts: 0 for the usual, then one more per doubling.
 
-    The table has a fixed size whatever the input (one byte for each of 2 ** 20 buckets).
+    The table has a fixed size whatever the input (one byte for each of 2 ** 20 buckets), and only these bytes
+    come to the driver.
     """
-    found = (profile.where("block IS NOT NULL").select("block", "counts")
-             .mapInArrow(_add_blocks, "block int, counts binary").repartition("block")
-             .mapInArrow(_add_blocks, "block int, counts binary").collect())
-    counts = np.zeros(1 << SKETCH_BITS, np.int64).reshape(-1, BLOCK)
+    counts = work.keep("counts", profile.where("block IS NOT NULL").select("block", "counts")
+                       .mapInArrow(_add_blocks, "block int, counts binary").repartition("block")
+                       .mapInArrow(_add_blocks, "block int, counts binary"))
+    total = counts.select("counts").mapInArrow(_sums, "total long").agg(F.sum("total")).first()[0]
+    found = counts.mapInArrow(partial(_ranks, mean=(total or 0) / (1 << SKETCH_BITS)), "block int, ranks binary").collect()
+    work.drop("counts")
+    ranks = bytearray(1 << SKETCH_BITS)
     for block, part in found:
-        counts[block] = np.frombuffer(part, np.int64)
-    counts = counts.ravel()
-    usual = counts.mean() + 4 * counts.mean() ** 0.5 + 2
-    above = np.log2(np.maximum(counts - counts.mean(), 1)).astype(np.uint8) + 1
-    return np.where(counts <= usual, 0, above).astype(np.uint8).tobytes()
+        ranks[block * BLOCK:(block + 1) * BLOCK] = part
+    return bytes(ranks)
 
 
 # --- regions ------------------------------------------------------------------------------------

@@ -8,9 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 import corpus_pipeline
-from sparkloom.llm import blocks, tensor_dedup
+from sparkloom.llm import blocks, jaccard_join as jaccard_join_module, tensor_dedup
 from sparkloom.llm.blocks import linked_between
 from sparkloom.llm.double_array import ROOT, DoubleArray
 from sparkloom.llm.feast import inertia_below, largest_eigenpairs
@@ -21,6 +22,7 @@ from sparkloom.llm.prefix_trie import own_turns, prefix_trie, rebuilt
 from sparkloom.llm.queries import QUERIES
 from sparkloom.llm.tensor_dedup import half_keys, least_marks, minhashes, near_duplicates
 from sparkloom.llm.whitening import whiten
+from sparkloom.llm.workspace import Workspace
 from tests.conftest import SMALL
 from tests.llm.test_operators import DOCS, WORD, _brute_components, _families, _shingles, none, odd  # noqa: F401
 
@@ -352,3 +354,25 @@ def test_pivots_come_from_the_largest_component_without_a_join(spark, most):
         wanted |= {(bucket, n, main) for n in slots.values()}
     assert sorted(map(tuple, found.collect())) == sorted(wanted)
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_driver_gets_a_byte_per_bucket(spark, monkeypatch):
+    size = 1 << jaccard_join_module.SKETCH_BITS
+    counts = np.random.default_rng(5).geometric(0.01, size).astype(np.int64) * (np.arange(size) % 3 > 0)
+    parts = [counts // 3, counts - counts // 3]
+    given = [(k, part[k * jaccard_join_module.BLOCK:(k + 1) * jaccard_join_module.BLOCK].tobytes())
+             for part in parts for k in range(size // jaccard_join_module.BLOCK) if k != 9]
+    counts[9 * jaccard_join_module.BLOCK:10 * jaccard_join_module.BLOCK] = 0
+    mean, sent = counts.mean(), []
+    whole = DataFrame.collect
+
+    def collect(df):
+        sent.append(whole(df))
+        return sent[-1]
+
+    frame = spark.createDataFrame(given, "block int, counts binary")
+    monkeypatch.setattr(DataFrame, "collect", collect)
+    found = jaccard_join_module._rank_of_buckets(frame, Workspace(spark, "ranks"))
+    above = np.log2(np.maximum(counts - mean, 1)).astype(np.uint8) + 1
+    assert found == np.where(counts <= mean + 4 * mean ** 0.5 + 2, 0, above).astype(np.uint8).tobytes()
+    assert sum(len(v) for rows in sent for r in rows for v in r if isinstance(v, (bytes, bytearray))) <= size
