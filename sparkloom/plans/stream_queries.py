@@ -27,7 +27,7 @@ from sparkloom.sinks.files import with_date
 from sparkloom.streaming import stateful
 from sparkloom.streaming.closing import closed
 from sparkloom.streaming.enrich import enrich_to
-from sparkloom.streaming.runtime import finish, to_batches, to_files
+from sparkloom.streaming.runtime import INNER_JOIN, finish, to_batches, to_files
 from sparkloom.streaming.side_outputs import routed_batches
 from sparkloom.streaming.traced import traced_batches
 from sparkloom.streaming.watermark import event_time
@@ -235,7 +235,7 @@ def stream_window_join(t: Tables):
     joined = window_join(lines, orders, {"l_orderkey": "o_orderkey"}, "l_shipdate", "o_orderdate",
                          "28 days")
     out = joined.select("l_orderkey", "l_linenumber", "o_custkey", "window_start")
-    return plain_times(finish(t.spark, out, "window-join"), "window_start")
+    return plain_times(finish(t.spark, out, "window-join", conf=INNER_JOIN), "window_start")
 
 
 @query("""SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders

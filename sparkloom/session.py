@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return ship_package(spark)
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for what starts inside; a streaming query keeps those it was started with."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the checkpoint folder that all executors share.
 

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkloom.session import shared_dir
+from sparkloom.session import settings, shared_dir
 from sparkloom.sinks.batches import write_once
 
+# For inner joins of streams. They emit nothing in a micro-batch without rows, which would only go through all
+# of the state once more; what is too old leaves with the next rows instead. To know the number of rows in the
+# state, every write looks its key up first; without, ``numRowsTotal`` in the progress tells nothing.
+INNER_JOIN = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
 
 def to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Append rows to files until all present input is read. Starts the query."""
@@ -65,14 +73,17 @@ def until_idle(query: StreamingQuery, timeout: float = 600.0, *, keep_state: boo
         query.stop()
 
 
-def finish(spark: SparkSession, df: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def finish(spark: SparkSession, df: DataFrame, label: str, mode: str = "append",
+           conf: Mapping[str, str] | None = None) -> DataFrame:
     """Run a stream over its present input and return what it emitted, as a table on shared
-    storage: append results through the file sink, others one folder per micro-batch."""
+    storage: append results through the file sink, others one folder per micro-batch. ``conf``
+    holds settings of this query alone."""
     root = shared_dir(spark, label)
-    if mode == "append":
-        query = to_files(df, f"{root}/out", f"{root}/checkpoint")
-    else:
-        query = to_batches(df, write_once(f"{root}/out"), f"{root}/checkpoint", mode)
+    with settings(spark, conf or {}):
+        if mode == "append":
+            query = to_files(df, f"{root}/out", f"{root}/checkpoint")
+        else:
+            query = to_batches(df, write_once(f"{root}/out"), f"{root}/checkpoint", mode)
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{root}/out").select(*df.columns)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators.joins import interval_join, window_join
 from sparkloom.operators.running import running
 from sparkloom.operators.windows import arrival_totals, session_totals, window_totals
+from sparkloom.plans.catalogue import QUERIES
 from sparkloom.plans.word_count import word_count
 from sparkloom.sinks.batches import read_batches, write_once
 from sparkloom.sinks.keyed import ADD, REPLACE, KeyedTable, upsert_batches
@@ -209,6 +210,29 @@ def test_stream_joins(spark, folder):
     assert got == rows(window_join(l_rows, r_rows, {"u": "ru"}, "ts", "rts", "5 seconds"), "v", "rv")
 
 
+@pytest.mark.parametrize("name, want", [("stream_window_join", [(1, 1, 7), (1, 1, 8)])])
+def test_joins_go_through_their_state_for_rows_only(spark, folder, monkeypatch, name, want):
+    root, runs = folder("tables"), []
+    def day(n):
+        return dt.datetime(2021, 1, 8) + n * dt.timedelta(days=1)
+    elements(spark, [(1, 1, day(0)), (1, 2, day(80)), (None, 3, day(0))],
+             "l_orderkey LONG, l_linenumber LONG, l_shipdate TIMESTAMP_NTZ").write.parquet(f"{root}/lineitem.parquet")
+    elements(spark, [(1, 7, day(1)), (1, 8, day(1)), (None, 9, day(1)), (2, 9, day(0))],
+             "o_orderkey LONG, o_custkey LONG, o_orderdate TIMESTAMP_NTZ").write.parquet(f"{root}/orders.parquet")
+    def recorded(*args):
+        runs.append(to_files(*args))
+        return runs[-1]
+    monkeypatch.setattr("sparkloom.streaming.runtime.to_files", recorded)
+    names = ("spark.sql.streaming.noDataMicroBatches.enabled",
+             "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows")
+    before = [spark.conf.get(n, None) for n in names]
+    got = QUERIES[name](spark, root)
+    assert rows(got, "l_orderkey", "l_linenumber", "o_custkey") == want
+    progressed = [p for q in runs for p in q.recentProgress if p["durationMs"].get("addBatch")]
+    assert progressed and all(p["numInputRows"] for p in progressed)
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
 def test_enrichment_follows_the_dimension(spark, folder):
     stream, _ = pieces(spark, folder, [[("u1", 1, 0)], [("u1", 2, 1)], [("u1", 3, 2)]])
     snapshots = [None, elements(spark, [("u1", "old")], "id STRING, name STRING"),
