@@ -246,7 +246,7 @@ def stream_interval_join(t: Tables):
     joined = interval_join(lines, orders, {"l_orderkey": "o_orderkey"}, "l_shipdate",
                            "o_orderdate", "-60 days", "30 days")
     return finish(t.spark, joined.select("l_orderkey", "l_linenumber", "o_custkey"),
-                  "interval-join")
+                  "interval-join", conf=INNER_JOIN)
 
 
 @query("""SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer

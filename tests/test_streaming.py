@@ -210,7 +210,8 @@ def test_stream_joins(spark, folder):
     assert got == rows(window_join(l_rows, r_rows, {"u": "ru"}, "ts", "rts", "5 seconds"), "v", "rv")
 
 
-@pytest.mark.parametrize("name, want", [("stream_window_join", [(1, 1, 7), (1, 1, 8)])])
+@pytest.mark.parametrize("name, want", [("stream_window_join", [(1, 1, 7), (1, 1, 8)]),
+                                        ("stream_interval_join", [(1, 1, 7), (1, 1, 8)])])
 def test_joins_go_through_their_state_for_rows_only(spark, folder, monkeypatch, name, want):
     root, runs = folder("tables"), []
     def day(n):
