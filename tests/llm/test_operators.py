@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkloom.llm.components import components
+from sparkloom.llm.components import _stars as stars, components
 from sparkloom.llm.decontaminate import contamination
 from sparkloom.llm.importance import importance_filter
 from sparkloom.llm.jaccard_join import jaccard_components, jaccard_join
@@ -168,6 +168,32 @@ def test_components_of_a_path_and_a_star(spark):
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    rng = random.Random(3)
+    order = rng.sample(range(5000), 5000)
+    edges = list(zip(order[:2000], order[1:2000])) + list(zip(order[2000:4000], order[2001:4000])) * 2
+    rng.shuffle(edges)
+    kept = []
+    keep = Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, name, df: (kept.append(name), keep(self, name, df))[1])
+    given = spark.createDataFrame(edges + [(7, None), (None, None)], "a long, b long")
+    found = {r.node: r.label for r in components(given, Workspace(spark, "test"), "t").collect()}
+    assert found == {i: min(part) for part in (order[:2000], order[2000:4000]) for i in part}
+    assert len(kept) <= 4             # edges, first labels, and two rounds at most
+    assert components(given.where("a IS NULL"), Workspace(spark, "test"), "t").isEmpty()
+
+
+def test_stars_connect_what_the_edges_of_a_task_do(monkeypatch):
+    monkeypatch.setattr("sparkloom.llm.components.EDGES", 4)
+    edges = [(9, 8), (8, 7), (7, 6), (6, -5), (1, 2), (2, 3), (5, 3), (1, 2), (4, 9)]
+    batches = [pa.RecordBatch.from_pydict({"a": [a for a, _ in part], "b": [b for _, b in part]})
+               for part in (edges[:3], edges[3:4], edges[4:5], edges[5:])]
+    found = [sorted(zip(*x.to_pydict().values())) for x in stars(iter(batches))]
+    both = [[(9, -5), (8, -5), (7, -5), (6, -5)], [(2, 1), (3, 1), (5, 1), (9, 4)]]
+    assert found == [sorted(part + [(b, a) for a, b in part]) for part in both]
+    assert list(stars(iter([]))) == []
+
+
 # --- URL rules -----------------------------------------------------------------------------------
 
 def test_digests_confirm_strings(tmp_path):
